@@ -5,19 +5,15 @@ from clickloom.functions.scalars import (
     city_share_text,
     event_date,
     event_minute,
-    id_list,
     one_decimal,
     percent,
-    words,
 )
 
 __all__ = [
     "city_share_text",
     "event_date",
     "event_minute",
-    "id_list",
     "json_pairs",
     "one_decimal",
     "percent",
-    "words",
 ]

@@ -7,16 +7,6 @@ from pyspark.sql import functions as F
 OTHER_CITIES_LABEL = "其他："
 
 
-def id_list(text: Column) -> Column:
-    """Elements of a comma list, without empty ones."""
-    return F.filter(F.split(text, ","), lambda item: item != "")
-
-
-def words(line: Column) -> Column:
-    """Tokens of a line cut at single spaces, without empty ones."""
-    return F.filter(F.split(line, " "), lambda word: word != "")
-
-
 def event_date(millis: Column) -> Column:
     """``yyyy-MM-dd`` of epoch milliseconds in the session zone."""
     return F.timestamp_millis(millis).cast("date").cast("string")

@@ -1,9 +1,8 @@
 """Selecting and classifying user actions."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import id_list
 from clickloom.schemas import NOT_A_CLICK
 from clickloom.sources.params import JobParams
 
@@ -30,7 +29,7 @@ def select_actions(actions: DataFrame, users: DataFrame, params: JobParams) -> D
     return actions.join(users.select("user_id"), "user_id").select(*actions.columns)
 
 
-def is_click():
+def is_click() -> Column:
     """A missing category counts as "not a click"."""
     return F.coalesce(F.col("click_category_id"), F.lit(NOT_A_CLICK)) != NOT_A_CLICK
 
@@ -39,15 +38,14 @@ def category_actions(actions: DataFrame) -> DataFrame:
     """One row (kind, category_id) per category touched by an action.
 
     The first matching kind wins: a click, else the ordered categories, else the
-    paid ones.
+    paid ones. Empty list elements are dropped.
     """
-
-    def tagged(kind, categories):
-        return F.transform(categories, lambda c: F.struct(F.lit(kind).alias("kind"), c.alias("category_id")))
-
-    touched = (
-        F.when(is_click(), tagged("click", F.array(F.col("click_category_id").cast("string"))))
-        .when(F.col("order_category_ids").isNotNull(), tagged("order", id_list(F.col("order_category_ids"))))
-        .when(F.col("pay_category_ids").isNotNull(), tagged("pay", id_list(F.col("pay_category_ids"))))
+    orders, payments = F.col("order_category_ids"), F.col("pay_category_ids")
+    kind = F.when(is_click(), "click").when(orders.isNotNull(), "order").when(payments.isNotNull(), "pay")
+    categories = (
+        F.when(is_click(), F.array(F.col("click_category_id").cast("string")))
+        .when(orders.isNotNull(), F.split(orders, ","))
+        .when(payments.isNotNull(), F.split(payments, ","))
     )
-    return actions.select(F.inline(touched))
+    touched = actions.select(kind.alias("kind"), F.explode(categories).alias("category_id"))
+    return touched.where(F.col("category_id") != "")

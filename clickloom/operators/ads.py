@@ -4,7 +4,7 @@ A log row has the columns of ``schemas.ADS_LOG``. The replay operators also need
 ``batch_id``, the number of the micro-batch in which the row arrives.
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import event_date, event_minute, json_pairs
@@ -17,18 +17,17 @@ USER_AD = ["date", "userid", "adid"]
 AREA_CITY_AD = ["date", "area", "city", "adid"]
 
 
-def _fields(lines: DataFrame) -> DataFrame:
-    """``value`` with its log fields; ``timestamp`` is null if the line is malformed."""
-    part = F.split(F.rtrim(F.col("value")), " ")
-    millis = F.expr("try_cast(_part[0] as bigint)")
-    well_formed = (
-        (F.size("_part") >= 5) & F.col("_part")[0].rlike("^[+-]?[0-9]+$") & millis.between(*MILLIS_RANGE)
-    )
-    return lines.select("*", part.alias("_part")).select(
-        *lines.columns,
-        F.when(well_formed, millis).alias("timestamp"),
-        *[F.get("_part", F.lit(i)).alias(name) for i, name in enumerate(LOG_FIELDS) if i > 0],
-    )
+# A number and at least four more fields, where trailing spaces do not make fields.
+LINE_PATTERN = "(?s)^[+-]?[0-9]+( [^ ]*){3} .*[^ ]"
+
+
+def _millis(line: Column) -> Column:
+    return F.substring_index(line, " ", 1).try_cast("bigint")
+
+
+def _is_well_formed(line: Column) -> Column:
+    in_range = F.coalesce(_millis(line).between(*MILLIS_RANGE), F.lit(False))
+    return F.coalesce(line.rlike(LINE_PATTERN) & in_range, F.lit(False))
 
 
 def parse_ads_log(lines: DataFrame) -> DataFrame:
@@ -36,13 +35,19 @@ def parse_ads_log(lines: DataFrame) -> DataFrame:
 
     Other columns of ``lines`` are kept.
     """
+    line = F.col("value")
     others = [c for c in lines.columns if c != "value"]
-    return _fields(lines).where(F.col("timestamp").isNotNull()).select(*others, *LOG_FIELDS)
+    split = lines.where(_is_well_formed(line)).select(
+        *others, _millis(line).alias("timestamp"), F.split(line, " ").alias("_part")
+    )
+    return split.select(
+        *others, "timestamp", *[F.get("_part", F.lit(i)).alias(LOG_FIELDS[i]) for i in range(1, len(LOG_FIELDS))]
+    )
 
 
 def malformed_ads_log(lines: DataFrame) -> DataFrame:
     """The lines that ``parse_ads_log`` leaves out."""
-    return _fields(lines).where(F.col("timestamp").isNull()).select(*lines.columns)
+    return lines.where(~_is_well_formed(F.col("value")))
 
 
 def with_date(logs: DataFrame) -> DataFrame:
@@ -106,15 +111,18 @@ def top_area_ads_json(top: DataFrame) -> DataFrame:
     )
 
 
-def recent_clicks(logs: DataFrame, minutes: int = 60) -> DataFrame:
-    """Logs later than ``minutes`` before the latest one.
+def recent_clicks(logs: DataFrame, blacklist: DataFrame, minutes: int = 60) -> DataFrame:
+    """Logs that pass the blacklist and are later than ``minutes`` before the latest such.
 
-    A minute of day names one minute only, so ``minutes`` is a day at most.
+    A minute of day names one minute only, so ``minutes`` is a day at most. The latest
+    click is found from one row per batch and user, and older logs are dropped before
+    the blacklist join.
     """
     if not 0 < minutes <= 24 * 60:
         raise ValueError("the window must be longer than 0 and at most 24 hours")
-    latest = logs.agg(F.max("timestamp") - F.lit(minutes * 60_000)).scalar()
-    return logs.where(F.col("timestamp") > latest)
+    last_of_user = logs.groupBy("batch_id", "userid").agg(F.max("timestamp").alias("timestamp"))
+    latest = drop_blacklisted(last_of_user, blacklist).agg(F.max("timestamp") - F.lit(minutes * 60_000))
+    return drop_blacklisted(logs.where(F.col("timestamp") > latest.scalar()), blacklist)
 
 
 def ad_minute_counts(logs: DataFrame, count=None) -> DataFrame:

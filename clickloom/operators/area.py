@@ -1,10 +1,10 @@
 """Product popularity per area with the share of the leading cities."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import city_share_text, percent
-from clickloom.operators.ranking import join_on, top_rows, top_values_with_ties
+from clickloom.operators.ranking import top_values_with_ties
 
 GROUP = ["area", "product_name"]
 
@@ -32,26 +32,31 @@ def area_product_counts(city_counts: DataFrame) -> DataFrame:
     return city_counts.groupBy(*GROUP).agg(F.sum("clicks").alias("product_count"))
 
 
-def city_click_ratio(city_counts: DataFrame, totals: DataFrame) -> DataFrame:
-    """``totals`` with the share text of the two leading cities of each group.
+def city_click_ratio(city_counts: DataFrame) -> DataFrame:
+    """Clicks per area and product name with the share text of the two leading cities.
 
-    Cities with equal counts are taken in name order.
+    Cities with equal counts are taken in name order. A group has one row per city of
+    the area here, so its window is as small as the city table.
     """
-    leading = top_rows(city_counts, GROUP, [F.desc("clicks"), F.asc_nulls_last("city_name")], 2)
-    pair = leading.groupBy(*GROUP).agg(
-        *[F.max(F.when(F.col("position") == i, F.col("city_name"))).alias(f"city_{i}") for i in (1, 2)],
-        *[F.max(F.when(F.col("position") == i, F.col("clicks"))).alias(f"clicks_{i}") for i in (1, 2)],
-    )
-    share = [percent(F.col(f"clicks_{i}"), F.col("product_count")) for i in (1, 2)]
-    text = city_share_text(F.col("city_1"), share[0], F.col("city_2"), share[1])
-    return join_on(totals, pair, GROUP).select(*totals.columns, text.alias("city_click_ratio"))
+    group = Window.partitionBy(*GROUP)
+    by_clicks = group.orderBy(F.desc("clicks"), F.asc_nulls_last("city_name"))
+    leading = city_counts.select(
+        "*", F.sum("clicks").over(group).alias("product_count"), F.row_number().over(by_clicks).alias("position")
+    ).where(F.col("position") <= 2)
+
+    def of(position: int, column: str) -> Column:
+        return F.max(F.when(F.col("position") == position, F.col(column)))
+
+    share = [percent(of(i, "clicks"), F.col("product_count")) for i in (1, 2)]
+    text = city_share_text(of(1, "city_name"), share[0], of(2, "city_name"), share[1])
+    return leading.groupBy(*GROUP, "product_count").agg(text.alias("city_click_ratio"))
 
 
 def area_product_top(city_counts: DataFrame, n: int = 3) -> DataFrame:
     """Products ranked ``n`` or better by clicks in their area, with the city shares.
 
-    Equal counts share a rank, so an area may have more than ``n`` rows. The shares
-    are worked out for the ranked products only.
+    Equal counts share a rank, so an area may have more than ``n`` rows.
     """
-    best = top_values_with_ties(area_product_counts(city_counts), ["area"], "product_count", n)
-    return city_click_ratio(join_on(city_counts, best, GROUP, "left_semi"), best)
+    return top_values_with_ties(
+        city_click_ratio(city_counts), ["area"], "product_count", n, area_product_counts(city_counts)
+    )

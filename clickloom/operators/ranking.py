@@ -29,14 +29,20 @@ def top_rows(
     return df.withColumn(position, F.row_number().over(window)).where(F.col(position) <= n)
 
 
-def top_values_with_ties(df: DataFrame, group: Sequence[str], value: str, n: int) -> DataFrame:
+def top_values_with_ties(
+    df: DataFrame, group: Sequence[str], value: str, n: int, values: DataFrame | None = None
+) -> DataFrame:
     """Rows with ``rank() over (partition by group order by value desc) <= n``.
 
     A row has such a rank exactly when its value reaches the n-th largest value of
     the group, repeats counted. That value comes from ``n`` rows per group, and the
     rows are compared with it where they lie: however many rows tie, they need not
     meet in one task, as they would in a rank() window.
+
+    ``values`` gives the same group and value pairs where they are cheaper to get.
     """
-    leaders = top_rows(df.select(*group, value), group, [F.desc(value)], n, "_position")
-    floors = leaders.groupBy(*group).agg(F.min(value).alias("_floor"))
+    pairs = (df if values is None else values).select(*group, value)
+    floors = (
+        top_rows(pairs, group, [F.desc(value)], n, "_position").groupBy(*group).agg(F.min(value).alias("_floor"))
+    )
     return join_on(df, floors, group).where(F.col(value) >= F.col("_floor")).drop("_floor")

@@ -3,11 +3,10 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions import words
-
 
 def line_words(lines: DataFrame, column: str = "value") -> DataFrame:
-    return lines.select(F.explode(words(F.col(column))).alias("word"))
+    """The words of each line: cut at single spaces, without empty ones."""
+    return lines.select(F.explode(F.split(column, " ")).alias("word")).where(F.col("word") != "")
 
 
 def word_count(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -51,8 +51,7 @@ def area_product_counts(spark, sf_dir):
 
 @query
 def city_click_ratio(spark, sf_dir):
-    counts = _city_counts(spark, sf_dir)
-    return area.city_click_ratio(counts, area.area_product_counts(counts))
+    return area.city_click_ratio(_city_counts(spark, sf_dir))
 
 
 @query
@@ -67,8 +66,7 @@ def star_area_product_top3(spark, sf_dir):
 
 @query
 def star_city_click_ratio(spark, sf_dir):
-    counts = _star_city_counts(spark, sf_dir)
-    return area.city_click_ratio(counts, area.area_product_counts(counts))
+    return area.city_click_ratio(_star_city_counts(spark, sf_dir))
 
 
 # Categories
@@ -202,15 +200,20 @@ def top3_ads_per_area_day_json(spark, sf_dir):
     return ads.top_area_ads_json(ads.top_area_ads(ads.area_ad_counts(_city_ad_counts(spark, sf_dir))))
 
 
+def _last_hour(spark, sf_dir):
+    logs = _logs(spark, sf_dir)
+    blacklist = ads.replay_blacklist(logs, td.BLACKLIST_THRESHOLD)
+    return ads.ad_minute_counts(ads.recent_clicks(logs, blacklist, td.WINDOW_MINUTES))
+
+
 @query
 def last_hour_ad_minutes(spark, sf_dir):
-    return ads.ad_minute_counts(ads.recent_clicks(_kept_logs(spark, sf_dir), td.WINDOW_MINUTES))
+    return _last_hour(spark, sf_dir)
 
 
 @query
 def last_hour_ad_minutes_json(spark, sf_dir):
-    minutes = ads.ad_minute_counts(ads.recent_clicks(_kept_logs(spark, sf_dir), td.WINDOW_MINUTES))
-    return ads.ad_minutes_json(minutes)
+    return ads.ad_minutes_json(_last_hour(spark, sf_dir))
 
 
 @query
@@ -246,12 +249,12 @@ def stream_ad_blacklist(spark, sf_dir):
 
 @query
 def stream_top3_ads(spark, sf_dir):
-    return _run_ads_stream(spark, sf_dir).result(spark, "top_area_ads_json")
+    return _run_ads_stream(spark, sf_dir).result(spark, "top_area_ads")
 
 
 @query
 def stream_last_hour_ads(spark, sf_dir):
-    return _run_ads_stream(spark, sf_dir).result(spark, "last_hour_json")
+    return _run_ads_stream(spark, sf_dir).result(spark, "last_hour")
 
 
 @query

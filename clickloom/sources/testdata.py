@@ -22,8 +22,21 @@ ACTION_ORDER = ("action_time", "event_id")
 MILLIS_PER_DAY = 86_400_000
 
 
+# Columns in use. A declared schema spares the look into the files before planning.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey long, p_name string, p_type string",
+    "orders": "o_orderkey long, o_custkey long",
+    "lineitem": "l_orderkey long, l_partkey long",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, props string",
+    "documents": "doc_id long, text string",
+}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -114,8 +127,8 @@ def ads_log_lines(spark: SparkSession, sf_dir: str, batch_days: int = 1) -> Data
 
 def star_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as clicks: product = part, city = nation of the customer."""
-    lineitem = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
-    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    lineitem = _read(spark, sf_dir, "lineitem")
+    orders = _read(spark, sf_dir, "orders")
     customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     placed = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(

@@ -7,10 +7,8 @@ threshold (effective from the next batch), then publish the results.
 Results, as parquet below the root folder:
 
     results/area_city_ad_counts   date (partition), area, city, adid, clicks
-    results/top_area_ads          date (partition), area, adid, clicks, position
-    results/top_area_ads_json     date (partition), area, top_ads
-    results/last_hour             adid, minute, clicks
-    results/last_hour_json        adid, minutes
+    results/top_area_ads          date (partition), area, top_ads
+    results/last_hour             adid, minutes
     quarantine                    batch_id (partition), value
     state                         counters carried from batch to batch
 
@@ -20,6 +18,7 @@ given; a click that comes late counts for its own date.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -48,13 +47,15 @@ BLACKLIST_KEYS = T.StructType([*_text("userid"), T.StructField("listed_batch", T
 
 RESULTS = {
     "area_city_ad_counts": "area string, city string, adid string, clicks long, date string",
-    "top_area_ads": "area string, adid string, clicks long, position int, date string",
-    "top_area_ads_json": "area string, top_ads string, date string",
-    "last_hour": "adid string, minute string, clicks long",
-    "last_hour_json": "adid string, minutes string",
+    "top_area_ads": "area string, top_ads string, date string",
+    "last_hour": "adid string, minutes string",
 }
 
 
+def _columns(result: str) -> list[str]:
+    return T.StructType.fromDDL(RESULTS[result]).names
+
+
 def _added(kept: DataFrame, part: str, *keys: str) -> DataFrame:
     """What a batch adds to a counter table."""
     return kept.groupBy(F.col(part).alias("part"), *keys).agg(F.count("*").alias("n"))
@@ -93,12 +94,16 @@ class AdsPipeline:
         logs = ads.parse_ads_log(lines).join(self.blacklist(spark, batch_id), "userid", "left_anti")
         kept = ads.with_date(logs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ads.malformed_ads_log(lines).write.mode("overwrite").parquet(
-                f"{self.root}/quarantine/batch_id={batch_id}"
-            )
-            self._update_blacklist(kept, spark, batch_id)
-            self._update_counts(kept, spark, batch_id)
-            self._update_last_hour(kept, spark, batch_id)
+            # Four outputs of the same clicks that do not read each other's results.
+            with ThreadPoolExecutor(4) as pool:
+                outputs = [
+                    pool.submit(self._quarantine, lines, batch_id),
+                    pool.submit(self._update_blacklist, kept, spark, batch_id),
+                    pool.submit(self._update_counts, kept, spark, batch_id),
+                    pool.submit(self._update_last_hour, kept, spark, batch_id),
+                ]
+            for output in outputs:
+                output.result()
         finally:
             kept.unpersist()
             lines.unpersist()
@@ -146,8 +151,7 @@ class AdsPipeline:
         )
         top = ads.top_area_ads(ads.area_ad_counts(counts), self.top_n)
         self._publish(counts, "area_city_ad_counts")
-        self._publish(top, "top_area_ads")
-        self._publish(ads.top_area_ads_json(top), "top_area_ads_json")
+        self._publish(ads.top_area_ads_json(top), "top_area_ads")
         counters.compact(batch_id, touched)
         self._expire(counters, kept)
 
@@ -157,19 +161,18 @@ class AdsPipeline:
         The state holds counts per ad and millisecond, so the edge of the window is exact.
         """
         recent = self._state(spark, "recent", RECENT_KEYS)
-        touched = recent.write(batch_id, _added(kept, "date", "adid", "timestamp"))
-        rows = recent.read(batch_id)
-        edge = rows.agg(F.max("timestamp") - F.lit(self.window_minutes * 60_000)).first()[0]
-        window = rows.limit(0)
-        if edge is not None:
-            first_date = spark.range(1).select(event_date(F.lit(edge))).first()[0]
-            window = rows.where((F.col("part") >= first_date) & (F.col("timestamp") > edge))
-        minutes = ads.ad_minute_counts(window, F.sum("n"))
-        self._replace(minutes, "last_hour")
-        self._replace(ads.ad_minutes_json(minutes), "last_hour_json")
-        if edge is not None:
-            recent.drop_parts(first_date)
-            recent.compact(batch_id, [part for part in touched if part >= first_date])
+        seen = recent.read(batch_id, finished_only=True).select("timestamp").union(kept.select("timestamp"))
+        edge = seen.agg(F.max("timestamp") - F.lit(self.window_minutes * 60_000)).first()[0]
+        if edge is None:
+            return
+        first_date = spark.range(1).select(event_date(F.lit(edge))).first()[0]
+        recent.drop_parts(first_date)
+        inside = F.col("timestamp") > edge
+        touched = recent.write(batch_id, _added(kept.where(inside), "date", "adid", "timestamp"))
+        minutes = ads.ad_minute_counts(recent.read(batch_id).where(inside), F.sum("n"))
+        result = ads.ad_minutes_json(minutes).select(*_columns("last_hour"))
+        result.write.mode("overwrite").parquet(f"{self.root}/results/last_hour")
+        recent.compact(batch_id, touched)
 
     def _expire(self, counters: CounterTable, kept: DataFrame) -> None:
         if self.retain_days is None:
@@ -178,14 +181,11 @@ class AdsPipeline:
         if oldest is not None:
             counters.drop_parts(oldest)
 
+    def _quarantine(self, lines: DataFrame, batch_id: int) -> None:
+        malformed = ads.malformed_ads_log(lines)
+        malformed.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}")
+
     def _publish(self, df: DataFrame, name: str) -> None:
         """Replace the dates in ``df``, leave the others."""
-        writer = df.select(*self._columns(name)).write.mode("overwrite").partitionBy("date")
+        writer = df.select(*_columns(name)).write.mode("overwrite").partitionBy("date")
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/results/{name}")
-
-    def _replace(self, df: DataFrame, name: str) -> None:
-        df.select(*self._columns(name)).write.mode("overwrite").parquet(f"{self.root}/results/{name}")
-
-    @staticmethod
-    def _columns(name: str) -> list[str]:
-        return T.StructType.fromDDL(RESULTS[name]).names
