@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import lookup
 from clickloom.schemas import NOT_A_CLICK
 from clickloom.sources.params import JobParams
 
@@ -26,7 +27,7 @@ def select_actions(actions: DataFrame, users: DataFrame, params: JobParams) -> D
     ):
         if bound is not None:
             users = users.where(keep(bound))
-    return actions.join(users.select("user_id"), "user_id").select(*actions.columns)
+    return actions.join(lookup(users.select("user_id")), "user_id").select(*actions.columns)
 
 
 def is_click() -> Column:

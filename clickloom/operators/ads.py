@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import event_date, event_minute, json_pairs
+from clickloom.operators.joins import lookup
 from clickloom.operators.ranking import top_rows
 
 LOG_FIELDS = ["timestamp", "area", "city", "userid", "adid"]
@@ -78,7 +79,7 @@ def replay_blacklist(logs: DataFrame, threshold: int = 100) -> DataFrame:
 def drop_blacklisted(logs: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Logs without those that arrive after the batch in which their user was listed."""
     return (
-        logs.join(blacklist, "userid", "left")
+        logs.join(lookup(blacklist), "userid", "left")
         .where(F.col("listed_batch").isNull() | (F.col("batch_id") <= F.col("listed_batch")))
         .select(*logs.columns)
     )

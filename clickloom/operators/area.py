@@ -1,9 +1,10 @@
 """Product popularity per area with the share of the leading cities."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import city_share_text, percent
+from clickloom.operators.joins import lookup
 from clickloom.operators.ranking import top_values_with_ties
 
 GROUP = ["area", "product_name"]
@@ -21,9 +22,9 @@ def city_product_counts(actions: DataFrame, cities: DataFrame, products: DataFra
         .groupBy("city_id", F.col("click_product_id").alias("product_id"))
         .agg(F.count("*").alias("n"))
     )
-    named = per_id.join(cities.select("city_id", "city_name", "area"), "city_id").join(
-        products.select("product_id", "product_name"), "product_id"
-    )
+    cities = cities.select("city_id", "city_name", "area")
+    products = products.select("product_id", "product_name")
+    named = per_id.join(lookup(cities), "city_id").join(lookup(products), "product_id")
     return named.groupBy(*GROUP, "city_name").agg(F.sum("n").alias("clicks"))
 
 
@@ -38,18 +39,24 @@ def city_click_ratio(city_counts: DataFrame) -> DataFrame:
     Cities with equal counts are taken in name order. A group has one row per city of
     the area here, so its window is as small as the city table.
     """
-    group = Window.partitionBy(*GROUP)
-    by_clicks = group.orderBy(F.desc("clicks"), F.asc_nulls_last("city_name"))
-    leading = city_counts.select(
-        "*", F.sum("clicks").over(group).alias("product_count"), F.row_number().over(by_clicks).alias("position")
-    ).where(F.col("position") <= 2)
-
-    def of(position: int, column: str) -> Column:
-        return F.max(F.when(F.col("position") == position, F.col(column)))
-
-    share = [percent(of(i, "clicks"), F.col("product_count")) for i in (1, 2)]
-    text = city_share_text(of(1, "city_name"), share[0], of(2, "city_name"), share[1])
-    return leading.groupBy(*GROUP, "product_count").agg(text.alias("city_click_ratio"))
+    by_clicks = Window.partitionBy(*GROUP).orderBy(F.desc("clicks"), F.asc_nulls_last("city_name"))
+    whole_group = by_clicks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first_city = city_counts.select(
+        *GROUP,
+        "city_name",
+        "clicks",
+        F.lead("city_name").over(by_clicks).alias("next_city"),
+        F.lead("clicks").over(by_clicks).alias("next_clicks"),
+        F.sum("clicks").over(whole_group).alias("product_count"),
+        F.row_number().over(by_clicks).alias("position"),
+    ).where(F.col("position") == 1)
+    text = city_share_text(
+        F.col("city_name"),
+        percent(F.col("clicks"), F.col("product_count")),
+        F.col("next_city"),
+        percent(F.col("next_clicks"), F.col("product_count")),
+    )
+    return first_city.select(*GROUP, "product_count", text.alias("city_click_ratio"))
 
 
 def area_product_top(city_counts: DataFrame, n: int = 3) -> DataFrame:

@@ -1,8 +1,6 @@
 """Page views and page-to-page jump rates along a configured flow."""
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,7 +34,7 @@ def page_jumps(
     actions: DataFrame,
     pairs: Sequence[tuple[int, int]],
     order_by: Sequence[str] = ("action_time", "page_id"),
-    slice_of=hour_of,
+    slice_of: Callable[[Column], Column] = hour_of,
 ) -> DataFrame:
     """How often a session goes from one page directly to another, for ``pairs``.
 
@@ -45,35 +43,45 @@ def page_jumps(
 
     Sessions are cut into slices of time (``slice_of`` the first order column, which
     must never decrease along the order), so that one huge session does not have to
-    be sorted by one task. Neighbours within a slice are found first; then the last
-    page of each slice is joined up with the first page of the session's next slice,
-    which needs one row per session and slice only.
+    be sorted by one task. A slice is reduced to its pair counts and its first and
+    last page. Those rows, one per session and slice, then show the moves from the
+    end of a slice to the start of the session's next one.
     """
-    order = [F.col(c) for c in order_by]
-    steps = actions.select(
-        "session_id", slice_of(F.col(order_by[0])).alias("slice"), "page_id", *[c for c in order_by if c != "page_id"]
-    ).repartition("session_id", "slice")
-
-    in_slice = Window.partitionBy("session_id", "slice").orderBy(*order)
-    within = steps.select(
-        F.col("page_id").alias("from_page"), F.lead("page_id").over(in_slice).alias("to_page")
-    )
-    ends = steps.groupBy("session_id", "slice").agg(
-        F.min_by("page_id", F.struct(*order)).alias("first_page"),
-        F.max_by("page_id", F.struct(*order)).alias("last_page"),
-    )
+    in_slice = Window.partitionBy("session_id", "slice").orderBy(*order_by)
     in_session = Window.partitionBy("session_id").orderBy("slice")
-    across = ends.select(
-        F.col("last_page").alias("from_page"), F.lead("first_page").over(in_session).alias("to_page")
-    )
 
-    wanted = reduce(or_, [(F.col("from_page") == a) & (F.col("to_page") == b) for a, b in pairs], F.lit(False))
-    return (
-        within.where(wanted)
-        .unionByName(across.where(wanted))
-        .groupBy("from_page", "to_page")
-        .agg(F.count("*").alias("jumps"))
+    def moved(from_page: str, to_page: str, pair: tuple[int, int]) -> Column:
+        return F.count_if((F.col(from_page) == pair[0]) & (F.col(to_page) == pair[1]))
+
+    steps = actions.withColumn("slice", slice_of(F.col(order_by[0]))).select(
+        "session_id",
+        "slice",
+        "page_id",
+        F.lead("page_id").over(in_slice).alias("next_page"),
+        F.lag(F.lit(1)).over(in_slice).isNull().alias("is_first"),
+        F.lead(F.lit(1)).over(in_slice).isNull().alias("is_last"),
+    )
+    slices = steps.groupBy("session_id", "slice").agg(
+        *[moved("page_id", "next_page", pair).alias(f"jumps_{i}") for i, pair in enumerate(pairs)],
+        F.max(F.when(F.col("is_first"), F.col("page_id"))).alias("first_page"),
+        F.max(F.when(F.col("is_last"), F.col("page_id"))).alias("last_page"),
     )
+    linked = slices.withColumn("next_first_page", F.lead("first_page").over(in_session))
+    totals = linked.agg(
+        *[
+            (F.sum(f"jumps_{i}") + moved("last_page", "next_first_page", pair)).alias(f"jumps_{i}")
+            for i, pair in enumerate(pairs)
+        ]
+    )
+    per_pair = [
+        F.struct(
+            F.lit(a).cast("long").alias("from_page"),
+            F.lit(b).cast("long").alias("to_page"),
+            F.col(f"jumps_{i}").alias("jumps"),
+        )
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return totals.select(F.inline(F.array(*per_pair))).where(F.col("jumps") > 0)
 
 
 def page_jump_ratio(
@@ -81,7 +89,7 @@ def page_jump_ratio(
     flow: Sequence[str],
     reverse: bool = False,
     order_by: Sequence[str] = ("action_time", "page_id"),
-    slice_of=hour_of,
+    slice_of: Callable[[Column], Column] = hour_of,
 ) -> DataFrame:
     """Jumps per view of the pair's first page, as (page_jump "a-b", ratio).
 

@@ -1,20 +1,11 @@
-"""Group-wise top-k, and a join that keeps null keys."""
+"""Group-wise top-k."""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where null matches null, as it does in a grouping.
-
-    The keys of ``left`` are kept. No broadcast hint: Spark broadcasts a side by
-    its size and otherwise sorts both and splits hot partitions.
-    """
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    condition = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
+from clickloom.operators.joins import join_on
 
 
 def top_rows(

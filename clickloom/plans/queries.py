@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import actions as act
 from clickloom.operators import ads, area, category, funnel, words
-from clickloom.session import configure, new_shared_dir
+from clickloom.session import configure, new_shared_dir, store
 from clickloom.sources import testdata as td
 from clickloom.sources.params import JobParams
 from clickloom.streaming.ads import AdsPipeline
@@ -139,9 +139,14 @@ def _logs(spark, sf_dir):
     return ads.parse_ads_log(td.ads_log_lines(spark, sf_dir).select("batch_id", "value"))
 
 
+def _blacklist(logs):
+    # Stored: its size then decides whether the logs have to be shuffled to meet it.
+    return store(ads.replay_blacklist(logs, td.BLACKLIST_THRESHOLD), "blacklist")
+
+
 def _kept_logs(spark, sf_dir):
     logs = _logs(spark, sf_dir)
-    return ads.drop_blacklisted(logs, ads.replay_blacklist(logs, td.BLACKLIST_THRESHOLD))
+    return ads.drop_blacklisted(logs, _blacklist(logs))
 
 
 def _city_ad_counts(spark, sf_dir):
@@ -202,8 +207,7 @@ def top3_ads_per_area_day_json(spark, sf_dir):
 
 def _last_hour(spark, sf_dir):
     logs = _logs(spark, sf_dir)
-    blacklist = ads.replay_blacklist(logs, td.BLACKLIST_THRESHOLD)
-    return ads.ad_minute_counts(ads.recent_clicks(logs, blacklist, td.WINDOW_MINUTES))
+    return ads.ad_minute_counts(ads.recent_clicks(logs, _blacklist(logs), td.WINDOW_MINUTES))
 
 
 @query

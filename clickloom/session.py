@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings only; memory, cores and spark.sql.shuffle.partitions stay
 # with whoever starts the session.
@@ -35,3 +35,14 @@ def new_shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="clickloom-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the files.
+
+    It is then computed once however often it is used, survives the loss of executors,
+    and Spark knows its size when it plans the joins that follow.
+    """
+    path = new_shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import lookup
 from clickloom.schemas import NOT_A_CLICK
 
 PARAMS = {
@@ -116,7 +117,7 @@ def ads_log_lines(spark: SparkSession, sf_dir: str, batch_days: int = 1) -> Data
         (F.col("user_id") % 25).alias("home_city_id"),
         (_k() % 6 + 1).alias("adid"),
     )
-    return events.join(cities, "home_city_id").select(
+    return events.join(lookup(cities), "home_city_id").select(
         F.floor(F.col("millis") / F.lit(MILLIS_PER_DAY * batch_days)).alias("batch_id"),
         "event_type",
         F.concat_ws(

@@ -29,6 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.functions import event_date
 from clickloom.operators import ads
+from clickloom.operators.joins import lookup
 from clickloom.session import configure
 from clickloom.streaming.state import CounterTable
 
@@ -91,7 +92,7 @@ class AdsPipeline:
         """Apply one micro-batch. Running the latest batch again changes nothing."""
         spark = configure(lines.sparkSession)
         lines.persist(StorageLevel.MEMORY_AND_DISK)
-        logs = ads.parse_ads_log(lines).join(self.blacklist(spark, batch_id), "userid", "left_anti")
+        logs = ads.parse_ads_log(lines).join(lookup(self.blacklist(spark, batch_id)), "userid", "left_anti")
         kept = ads.with_date(logs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # Four outputs of the same clicks that do not read each other's results.
