@@ -3,6 +3,7 @@
 from clickloom.functions.aggregates import json_pairs
 from clickloom.functions.scalars import (
     city_share_text,
+    composite_key,
     event_date,
     event_minute,
     one_decimal,
@@ -11,6 +12,7 @@ from clickloom.functions.scalars import (
 
 __all__ = [
     "city_share_text",
+    "composite_key",
     "event_date",
     "event_minute",
     "json_pairs",

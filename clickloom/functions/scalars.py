@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 OTHER_CITIES_LABEL = "其他："
 
 
+def composite_key(*parts: str) -> Column:
+    """Key parts as one text, such as ``area:city:ad`` or ``user:ad``."""
+    return F.concat_ws(":", *parts)
+
+
 def event_date(millis: Column) -> Column:
     """``yyyy-MM-dd`` of epoch milliseconds in the session zone."""
     return F.timestamp_millis(millis).cast("date").cast("string")

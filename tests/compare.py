@@ -37,7 +37,7 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> dict:
     start = time.perf_counter()
     ours = query(spark, sf_dir).toArrow()
     seconds = time.perf_counter() - start
-    theirs = con.execute(sql).to_arrow_table()
+    theirs = con.sql(sql).to_arrow_table()
     types = [{f.name: _plain_type(f.type) for f in t.schema} for t in (ours, theirs)]
     a, b = _rows(ours), _rows(theirs)
     same = len(a) == len(b) and all(len(x) == len(y) and all(map(_same, x, y)) for x, y in zip(a, b))

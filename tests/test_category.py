@@ -1,0 +1,135 @@
+import random
+from collections import Counter, defaultdict
+
+from helpers import actions, clicks, rows
+
+from clickloom.operators import category
+from clickloom.operators.actions import category_actions, select_actions
+from clickloom.sources.params import JobParams
+from clickloom.sources.tables import from_rows
+
+
+def counted(spark, data):
+    return rows(category.category_action_counts(actions(spark, data)))
+
+
+def test_click_wins_over_order(spark):
+    assert counted(spark, [{"click_category_id": 5, "order_category_ids": "1,2"}]) == [("5", 1, 0, 0)]
+
+
+def test_order_wins_over_pay(spark):
+    assert counted(spark, [{"order_category_ids": "1", "pay_category_ids": "2"}]) == [("1", 0, 1, 0)]
+
+
+def test_row_without_action_counts_nothing(spark):
+    assert counted(spark, [{}]) == []
+
+
+def test_missing_click_is_no_click(spark):
+    assert counted(spark, [{"click_category_id": None, "pay_category_ids": "3"}]) == [("3", 0, 0, 1)]
+
+
+def test_empty_list_elements_are_dropped(spark):
+    data = [{"order_category_ids": ids} for ids in ("1,2,,", "", ",3")]
+    assert counted(spark, data) == [("1", 0, 1, 0), ("2", 0, 1, 0), ("3", 0, 1, 0)]
+
+
+def test_empty_order_list_hides_the_payment(spark):
+    assert counted(spark, [{"order_category_ids": "", "pay_category_ids": "3"}]) == []
+
+
+def test_top_breaks_ties_by_clicks_then_id(spark):
+    data = clicks(2, 3) + clicks(10, 2) + clicks(9, 2) + [{"pay_category_ids": "2,9,10"}]
+    top = category.top_categories(category.category_action_counts(actions(spark, data)))
+    assert [row.category_id for row in top.collect()] == ["2", "10", "9"]
+
+
+def test_top_orders_by_pay_before_order_before_click(spark):
+    data = clicks(1, 9) + [{"order_category_ids": "2"}] * 2 + [{"pay_category_ids": "3"}]
+    top = category.top_categories(category.category_action_counts(actions(spark, data)), 2)
+    assert [row.category_id for row in top.collect()] == ["3", "2"]
+
+
+def test_session_top_takes_ten_of_tied_sessions(spark):
+    data = [row for i in range(11) for row in clicks(1, session_id=f"s{i:02}")]
+    counts = category.session_clicks(actions(spark, data))
+    top = category.top_category_sessions(counts, spark.createDataFrame([("1",)], "category_id string"))
+    assert rows(top) == [("1", f"s{i:02}", 1) for i in range(10)]
+
+
+def test_session_top_ignores_other_categories(spark):
+    data = clicks(1, session_id="a") + clicks(2, session_id="a") + [{"session_id": "a"}]
+    counts = category.session_clicks(actions(spark, data))
+    top = category.top_category_sessions(counts, spark.createDataFrame([("2",)], "category_id string"))
+    assert rows(top) == [("2", "a", 1)]
+
+
+def test_against_brute_force_with_a_hot_category_and_session(spark):
+    rng = random.Random(1)
+    data = []
+    for _ in range(3000):
+        hot = rng.random() < 0.4
+        session = "hot" if hot else f"s{rng.randrange(30)}"
+        chosen = 7 if hot else rng.randrange(1, 25)
+        kind = rng.choice(["click", "order", "pay", "view"])
+        row = {"session_id": session}
+        if kind == "click":
+            row["click_category_id"] = chosen
+        elif kind != "view":
+            row[f"{kind}_category_ids"] = f"{chosen},{rng.randrange(1, 25)}"
+        data.append(row)
+    counts, sessions = defaultdict(Counter), Counter()
+    for row in data:
+        if "click_category_id" in row:
+            counts[str(row["click_category_id"])]["click"] += 1
+            sessions[str(row["click_category_id"]), row["session_id"]] += 1
+        for kind in ("order", "pay"):
+            for item in row.get(f"{kind}_category_ids", "").split(","):
+                if item:
+                    counts[item][kind] += 1
+    expected = sorted(
+        ((c, n["click"], n["order"], n["pay"]) for c, n in counts.items()),
+        key=lambda r: (-r[3], -r[2], -r[1], r[0]),
+    )
+    frame = actions(spark, data)
+    top = category.top_categories(category.category_action_counts(frame))
+    assert [tuple(r) for r in top.collect()] == expected[:10]
+    best = {r[0] for r in expected[:10]}
+    by_category = defaultdict(list)
+    for (c, s), n in sessions.items():
+        if c in best:
+            by_category[c].append((-n, s))
+    wanted = sorted((c, s, -n) for c, found in by_category.items() for n, s in sorted(found)[:10])
+    assert rows(category.top_category_sessions(category.session_clicks(frame), top)) == wanted
+
+
+def users(spark):
+    return from_rows(spark, "user_info", [(i, f"u{i}", "n", age, "p", "g") for i, age in ((1, 10), (2, 20), (3, 30))])
+
+
+def test_ranges_are_inclusive_and_optional(spark):
+    data = [
+        {"user_id": user, "date": date}
+        for user in (1, 2, 3, 4)
+        for date in ("2024-01-01", "2024-01-02", "2024-01-03")
+    ]
+
+    def selected(**params):
+        chosen = select_actions(actions(spark, data), users(spark), JobParams.from_mapping(params))
+        return rows(chosen, "user_id", "date")
+
+    every = [(u, f"2024-01-0{d}") for u in (1, 2, 3) for d in (1, 2, 3)]
+    assert selected() == every
+    assert selected(startAge="", endAge=None) == every
+    assert selected(startAge="20") == [r for r in every if r[0] >= 2]
+    assert selected(endAge="20", startDate="2024-01-02") == [r for r in every if r[0] <= 2 and r[1] >= "2024-01-02"]
+    assert selected(endDate="2024-01-01", startAge="30", endAge="30") == [(3, "2024-01-01")]
+
+
+def test_selected_actions_keep_their_columns(spark):
+    frame = actions(spark, [{"user_id": 1}])
+    assert select_actions(frame, users(spark), JobParams()).columns == frame.columns
+
+
+def test_category_actions_columns(spark):
+    assert category_actions(actions(spark, clicks(4))).collect() == [("click", "4")]

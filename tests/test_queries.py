@@ -1,0 +1,41 @@
+"""Queries against their SQL. One of each stream: test_streaming.py compares the other outputs."""
+
+import pytest
+from compare import compare, sql_engine
+
+import __spark_entry__ as entry_point
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES = entry_point.queries()
+ORACLE = entry_point.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return sql_engine(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE)
+
+
+def test_entry(spark):
+    df = entry_point.entry(spark)
+    assert df.columns == ["area", "product_name", "product_count", "city_click_ratio"]
+    assert df.count() > 0
+
+
+def check(spark, con, name):
+    result = compare(spark, con, QUERIES[name], ORACLE[name], SF_DIR)
+    assert result["types_match"], result["types"]
+    assert result["values_match"], result["first_difference"]
+
+
+@pytest.mark.parametrize("name", [name for name in QUERIES if not name.startswith("stream_")])
+def test_batch_query_matches_sql(spark, con, name):
+    check(spark, con, name)
+
+
+@pytest.mark.parametrize("name", ["stream_ad_blacklist", "stream_word_count"])
+def test_stream_query_matches_sql(spark, con, name):
+    check(spark, con, name)

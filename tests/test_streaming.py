@@ -1,0 +1,159 @@
+"""The ad stream: stream = batch, order of effects, restarts, repeated batches, compaction."""
+
+import random
+
+import pytest
+from helpers import DAY, log_line, rows
+from test_ads import simulate
+
+from clickloom.operators import ads
+from clickloom.sources import testdata as td
+from clickloom.sources.streams import text_lines
+from clickloom.streaming.ads import AdsPipeline
+from clickloom.streaming.replay import replay
+from clickloom.streaming.words import WordCountPipeline
+
+
+def batches(spark, data):
+    """Lines (batch_id, value) from (batch, millis, user, ad)."""
+    return spark.createDataFrame([(b, log_line(t, u, a)) for b, t, u, a in data], "batch_id long, value string")
+
+
+def run(spark, tmp_path, data, **settings):
+    pipeline = AdsPipeline(str(tmp_path / "job"), **settings)
+    replay(spark, batches(spark, data), pipeline, str(tmp_path / "lines"))
+    return pipeline
+
+
+def outputs(spark, pipeline):
+    return {
+        "blacklist": rows(pipeline.blacklist(spark)),
+        "user_ad": rows(pipeline.user_ad_counts(spark)),
+        **{name: rows(pipeline.result(spark, name)) for name in ("area_city_ad_counts", "top_area_ads", "last_hour")},
+    }
+
+
+def batch_outputs(spark, frame, threshold, minutes):
+    """The same results from the batch operators over logs with batch_id."""
+    blacklist = ads.replay_blacklist(frame, threshold)
+    kept = ads.drop_blacklisted(frame, blacklist)
+    per_city = ads.area_city_ad_counts(kept)
+    top = ads.top_area_ads_json(ads.top_area_ads(ads.area_ad_counts(per_city)))
+    recent = ads.ad_minute_counts(ads.recent_clicks(frame, blacklist, minutes))
+    return {
+        "blacklist": rows(blacklist),
+        "user_ad": rows(ads.user_ad_counts(kept)),
+        "area_city_ad_counts": rows(per_city, "area", "city", "adid", "clicks", "date"),
+        "top_area_ads": rows(top, "area", "top_ads", "date"),
+        "last_hour": rows(ads.ad_minutes_json(recent)),
+    }
+
+
+def test_stream_equals_batch_on_the_test_tables(spark, tmp_path):
+    lines = td.ads_log_lines(spark, "/root/testdata/sf0.001", 15)
+    numbers = sorted(row[0] for row in lines.select("batch_id").distinct().collect())
+    number = {old: new for new, old in enumerate(numbers)}
+    pipeline = AdsPipeline(str(tmp_path / "job"), td.BLACKLIST_THRESHOLD, td.WINDOW_MINUTES)
+    replay(spark, lines, pipeline, str(tmp_path / "lines"))
+    frame = ads.parse_ads_log(lines.select("batch_id", "value")).replace(number, subset=["batch_id"])
+    expected = batch_outputs(spark, frame, td.BLACKLIST_THRESHOLD, td.WINDOW_MINUTES)
+    assert expected["blacklist"]
+    assert outputs(spark, pipeline) == expected
+
+
+def test_stream_with_a_hot_user_late_clicks_and_compaction(spark, tmp_path):
+    rng = random.Random(5)
+    data = []
+    for batch in range(6):
+        for _ in range(60):
+            user = "hot" if rng.random() < 0.4 else f"u{rng.randrange(8)}"
+            late = rng.randrange(2) * DAY
+            millis = max(0, batch * DAY // 2 - late) + rng.randrange(DAY // 2)
+            data.append((batch, millis, user, str(rng.randrange(3))))
+    pipeline = run(spark, tmp_path, data, threshold=9, window_minutes=24 * 60, compact_every=2)
+    out, listed = simulate(data, 9)
+    assert 0 < len(listed) < 9
+    frame = ads.parse_ads_log(batches(spark, data))
+    expected = batch_outputs(spark, frame, 9, 24 * 60)
+    assert expected["blacklist"] == sorted(listed.items())
+    assert sum(row[3] for row in expected["area_city_ad_counts"]) == len(out)
+    assert outputs(spark, pipeline) == expected
+    assert list((tmp_path / "job/state/user_ad/kind=base").iterdir())
+
+
+def test_crossing_batch_counts_and_the_next_is_blocked(spark, tmp_path):
+    data = [(0, i, "u", "1") for i in range(4)] + [(1, 9, "u", "1"), (1, 9, "v", "1")]
+    pipeline = run(spark, tmp_path, data, threshold=3)
+    assert rows(pipeline.user_ad_counts(spark), "userid", "clicks") == [("u", 4), ("v", 1)]
+    assert rows(pipeline.blacklist(spark)) == [("u", 0)]
+
+
+@pytest.fixture
+def second_batch(spark, tmp_path):
+    """A pipeline after two batches, and the lines of the second."""
+    data = [(0, 0, "u", "1"), (0, 1, "v", "1")] + [(1, 2, "u", "1")] * 3
+    pipeline = run(spark, tmp_path, data, threshold=3, compact_every=1)
+    last = batches(spark, data).where("batch_id = 1").select("value")
+    return pipeline, last
+
+
+def test_repeated_batch_changes_nothing(spark, second_batch):
+    pipeline, last = second_batch
+    before = outputs(spark, pipeline)
+    pipeline.process(last, 1)
+    pipeline.process(last, 1)
+    assert outputs(spark, pipeline) == before
+    assert before["user_ad"] == [("1970-01-01", "u", "1", 4), ("1970-01-01", "v", "1", 1)]
+    assert before["blacklist"] == [("u", 1)]
+
+
+@pytest.mark.parametrize("step", ["_update_blacklist", "_update_counts", "_update_last_hour"])
+def test_batch_that_fails_half_way_is_repaired_by_its_repetition(spark, tmp_path, monkeypatch, step):
+    data = [(0, 0, "u", "1"), (0, 1, "v", "1")] + [(1, 2, "u", "1")] * 3
+    whole = outputs(spark, run(spark, tmp_path / "a", data, threshold=3))
+
+    original = getattr(AdsPipeline, step)
+
+    def failing(self, kept, session, batch_id):
+        original(self, kept, session, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(AdsPipeline, step, failing)
+        with pytest.raises(Exception, match="lost"):
+            run(spark, tmp_path / "b", data, threshold=3)
+    pipeline = AdsPipeline(str(tmp_path / "b/job"), threshold=3)
+    pipeline.start(text_lines(spark, str(tmp_path / "b/lines")), availableNow=True).awaitTermination()
+    assert outputs(spark, pipeline) == whole
+
+
+def test_malformed_lines_do_not_stop_the_stream(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path / "job"))
+    lines = spark.createDataFrame([(0, "abc x"), (0, log_line(5, "u", "1"))], "batch_id long, value string")
+    replay(spark, lines, pipeline, str(tmp_path / "lines"))
+    assert rows(spark.read.parquet(str(tmp_path / "job/quarantine")), "value") == [("abc x",)]
+    assert rows(pipeline.user_ad_counts(spark), "userid", "clicks") == [("u", 1)]
+
+
+def test_batch_without_usable_lines(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path / "job"))
+    pipeline.process(spark.createDataFrame([("x",)], "value string"), 0)
+    pipeline.process(spark.createDataFrame([(log_line(5, "u", "1"),)], "value string"), 1)
+    pipeline.process(spark.createDataFrame([], "value string"), 2)
+    assert rows(pipeline.user_ad_counts(spark), "userid", "clicks") == [("u", 1)]
+    assert rows(pipeline.result(spark, "last_hour")) == [("1", '[{"00:00":1}]')]
+
+
+def test_retain_days_drops_old_counters(spark, tmp_path):
+    data = [(0, 0, "u", "1"), (1, 3 * DAY, "u", "1")]
+    pipeline = run(spark, tmp_path, data, retain_days=1)
+    assert rows(pipeline.user_ad_counts(spark), "date") == [("1970-01-04",)]
+
+
+def test_running_word_count_over_restarts(spark, tmp_path):
+    pipeline = WordCountPipeline(str(tmp_path / "job"), compact_every=2)
+    data = [(0, "a  b "), (0, "b"), (1, "c a"), (2, "b"), (3, "")]
+    lines = spark.createDataFrame(data, "batch_id long, value string")
+    replay(spark, lines, pipeline, str(tmp_path / "lines"))
+    assert rows(pipeline.result(spark)) == [("a", 2), ("b", 3), ("c", 1)]
