@@ -21,7 +21,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,14 +95,16 @@ class AdsPipeline:
         logs = ads.parse_ads_log(lines).join(lookup(self.blacklist(spark, batch_id)), "userid", "left_anti")
         kept = ads.with_date(logs).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # Four outputs of the same clicks that do not read each other's results.
-            with ThreadPoolExecutor(4) as pool:
-                outputs = [
-                    pool.submit(self._quarantine, lines, batch_id),
-                    pool.submit(self._update_blacklist, kept, spark, batch_id),
-                    pool.submit(self._update_counts, kept, spark, batch_id),
-                    pool.submit(self._update_last_hour, kept, spark, batch_id),
-                ]
+            # Four outputs of the same clicks that do not read each other's results. Their
+            # jobs belong to the query's job group, so that stopping it stops them.
+            steps = [
+                lambda: self._quarantine(lines, batch_id),
+                lambda: self._update_blacklist(kept, spark, batch_id),
+                lambda: self._update_counts(kept, spark, batch_id),
+                lambda: self._update_last_hour(kept, spark, batch_id),
+            ]
+            with ThreadPoolExecutor(len(steps)) as pool:
+                outputs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
             for output in outputs:
                 output.result()
         finally:
