@@ -45,7 +45,7 @@ def test_repeated_batch_replaces_its_rows(spark, tmp_path):
     assert current(t) == [("p", "a", 8)]
 
 
-@pytest.mark.parametrize("compact_every", [1, 2, 3, 50])
+@pytest.mark.parametrize("compact_every", [1, 3])
 def test_compaction_keeps_the_sums_when_every_batch_runs_twice(spark, tmp_path, compact_every):
     rng = random.Random(6)
     t = table(spark, tmp_path / "t", compact_every=compact_every)
