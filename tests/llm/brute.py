@@ -1,0 +1,80 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import zlib
+
+import pandas as pd
+import xxhash
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns that an operator also makes, to see that they do not disturb it.
+CLASHES = "doc_id long, text string, lang string, source string, n_chars long, fp long, n_tokens string, digest string, v int, kept string"
+
+ODD_TEXTS = [
+    None,
+    "",
+    " ",
+    "\n\n",
+    "a",
+    "A b\tc",
+    "a b c d",
+    "a b c d e",
+    "▁x  ▁▁ y",
+    "\x00tail 　wide\x85",
+    "日本語 text 😀 mixed 😀",
+    "<s>hi</s> <|endoftext|> <|startoftext|>x <unk>",
+    "é ́ ΑΣ ΑΣ. İ",
+    "word " * 3000,
+    "x" * 5000,
+    "     " * 40 + "q",
+    "same line\nsame line\nsame line",
+]
+
+
+def documents(spark, texts, lang="en", source="src0", schema=DOCUMENTS):
+    """One row for each text, ids from 1 on."""
+    empty = (None,) * (schema.count(",") - 4)
+    return spark.createDataFrame(
+        [(i + 1, t, lang, source, len(t) if t else 0, *empty) for i, t in enumerate(texts)], schema
+    )
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def fold(doc_id: int, folds: int) -> int:
+    return zlib.crc32(str(doc_id).encode()) % folds
+
+
+def simhash(text) -> int:
+    words = (text or "").encode().lower().split()
+    shingles = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def components(prints: dict) -> dict:
+    """Smallest key reachable over links of at most four bits."""
+    keys = sorted(prints)
+    root = {k: k for k in keys}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if (prints[a] ^ prints[b]).bit_count() <= 4:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {k: find(k) for k in keys}
+
+
+def rows(df, *columns):
+    return sorted(map(tuple, df.select(*(columns or df.columns)).collect()), key=str)
+
+
+def parquet(path) -> pd.DataFrame:
+    return pd.read_parquet(path)

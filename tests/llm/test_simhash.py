@@ -1,0 +1,81 @@
+import random
+from itertools import combinations
+
+import pytest
+from brute import CLASHES, DOCUMENTS, ODD_TEXTS, components, documents, rows, simhash
+from pyspark.sql import functions as F
+
+from clickloom.llm import simhash as op
+from clickloom.llm.queries import QUERIES
+
+
+def near(spark, prints, block=2048):
+    points = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in sorted(set(prints))], "fp long")
+    return op.components(op.links(points, 4, block))
+
+
+def test_masks_cover_every_pair_within_the_radius():
+    masks = [m & (2**64 - 1) for m in op.covering_masks(4)]
+    assert len(masks) == 31
+    for bits in range(1, 5):
+        for places in combinations(range(64), bits) if bits < 4 else (random.sample(range(64), 4) for _ in range(20000)):
+            changed = sum(1 << p for p in places)
+            assert any(changed & m == 0 for m in masks)
+
+
+def test_query_matches_brute_force(spark, sf_dir, table_rows):
+    texts = dict(table_rows("documents")[["doc_id", "text"]].values)
+    prints = {k: simhash(t) for k, t in texts.items()}
+    want = {(k, f"{prints[k]:016x}", c) for k, c in components(prints).items()}
+    assert set(map(tuple, QUERIES["op10_simhash"](spark, sf_dir).collect())) == want
+
+
+@pytest.mark.parametrize("schema", [DOCUMENTS, CLASHES])
+def test_odd_texts(spark, schema):
+    texts = ODD_TEXTS + ODD_TEXTS[3:9]
+    got = op.near_duplicates(documents(spark, texts, schema=schema)).collect()
+    prints = {i + 1: simhash(t) for i, t in enumerate(texts)}
+    roots = components(prints)
+    assert {(r.doc_id, r.fp % 2**64, r.component_id) for r in got} == {(k, prints[k], roots[k]) for k in prints}
+
+
+def test_empty_table_and_null_ids(spark):
+    docs = documents(spark, ["a b c d e"] * 3)
+    assert op.near_duplicates(docs.where("false")).collect() == []
+    null = docs.withColumn("doc_id", F.expr("nullif(doc_id, 1)"))
+    assert rows(op.near_duplicates(null), "doc_id", "component_id") == [(2, 2), (3, 2), (None, 2)]
+    kept = op.keep_one(null)
+    assert kept.columns == docs.columns
+    assert rows(kept, "doc_id") == [(2,), (None,)]
+
+
+@pytest.mark.parametrize("block", [2048, 7])
+def test_a_large_bucket_in_blocks_gives_the_same_components(spark, block):
+    picks = random.Random(3)
+    base = [picks.getrandbits(64) for _ in range(4)]
+    prints = set(base)
+    for b in base:
+        for _ in range(40):
+            x = b
+            for _ in range(picks.randint(1, 6)):
+                x ^= 1 << picks.randrange(64)
+            prints.add(x)
+    signed = {p - (1 << 64) if p >> 63 else p: p for p in prints}
+    want = components({s: p for s, p in signed.items()})
+    got = {r.node: r.root for r in near(spark, prints, block).collect()}
+    assert {s: got.get(s, s) for s in signed} == want
+
+
+def test_a_chain_is_one_component(spark):
+    prints = [0]
+    for i in range(16):
+        prints.append(prints[-1] | 0b1111 << 4 * i)
+    got = near(spark, prints).collect()
+    assert len(got) == 17 and len({r.root for r in got}) == 1
+
+
+def test_forest_has_fewer_links_than_points():
+    import numpy as np
+
+    points = np.arange(1000, dtype=np.int64)
+    assert len(op.forest(points, 10)) == 999
