@@ -1,3 +1,31 @@
 """The same in SQL where SQL can express it; the other queries are tested by brute force."""
 
 ORACLE_SQL: dict[str, str] = {}
+
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = "regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE_SQL["op4_decontamination"] = f"""
+with item as (
+  select item_id, {_ITEM_WORDS} as w from benchmark where text is not null
+), win as (
+  select distinct item_id, array_to_string(w[s:s + 9], ' ') as phrase, least(len(w), 10) as size
+  from item, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as t(s) where len(w) > 0
+), sizes as (select distinct size from win),
+doc as (
+  select doc_id, {_ITEM_WORDS.replace("text", "coalesce(text, '')")} as w from documents
+), hit as (
+  select d.doc_id, d.s, d.size, win.item_id
+  from (select doc_id, s, size, array_to_string(w[s:s + size - 1], ' ') as phrase
+        from doc, sizes, unnest(range(1, len(w) - size + 2)) as t(s)) d
+  join win on win.phrase = d.phrase and win.size = d.size
+), n as (
+  select doc_id, count(distinct p) as n_hit from hit, unnest(range(s, s + size)) as t(p) group by doc_id
+), i as (
+  select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+  from (select distinct doc_id, item_id::varchar as id from hit) group by doc_id
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc left join n using (doc_id) left join i using (doc_id)
+"""

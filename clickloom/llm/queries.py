@@ -5,8 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import language, pieces, simhash, tokens
-from clickloom.llm.common import fold, ship, table
+from clickloom.llm import decontaminate, language, lines, pieces, simhash, tokens
+from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,17 @@ def op3_sentencepiece(spark, sf_dir):
     return done.select("doc_id", "e.*")
 
 
+@query
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_line_dedup(spark, sf_dir):
+    kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "_lines.n_lines", "_lines.n_removed", sha256(F.col("text")).alias("text_sha256"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     counted = tokens.count_tokens(
