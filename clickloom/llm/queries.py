@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, language, lines, pieces, simhash, tokens
+from clickloom.llm import decontaminate, language, lines, pieces, quality, simhash, tokens
 from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
@@ -28,6 +28,11 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op1_quality(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents")).drop("row")
+
+
 @query
 def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
