@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, language, lines, pieces, quality, simhash, tokens
+from clickloom.llm import decontaminate, language, lines, pieces, pii, quality, simhash, tokens
 from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
@@ -60,6 +60,11 @@ def op7_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "_lines.n_lines", "_lines.n_removed", sha256(F.col("text")).alias("text_sha256"))
 
 
+@query
+def op8_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_counts(spark, sf_dir):
     counted = tokens.count_tokens(
