@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, language, lines, pieces, pii, quality, simhash, tokens
+from clickloom.llm import decontaminate, html, language, lines, pieces, pii, quality, simhash, tokens
 from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
@@ -54,6 +54,12 @@ def op4_decontamination(spark, sf_dir):
     return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", html.extract(F.col("html")).alias("text"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
