@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, html, language, lines, pieces, pii, quality, simhash, tokens
+from clickloom.llm import decontaminate, html, language, lines, pieces, pii, quality, simhash, tokens, toxicity
 from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
@@ -60,6 +60,15 @@ def op5_html_text(spark, sf_dir):
     return pages.withColumn("n_chars", F.length("text").cast("long"))
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     kept = lines.dedup_lines(table(spark, sf_dir, "documents"))
