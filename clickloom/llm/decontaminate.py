@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import row_digest, sha256
+from clickloom.llm.common import drop_rows, row_digest, sha256
 from clickloom.session import store
 
 WINDOW = 10
@@ -246,5 +246,4 @@ def drop_leaks(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFra
     Rows are told apart by id and text: of two rows with one id, the clean one stays.
     """
     marked = docs.select(F.col("text"), row_digest().alias("doc_id"))
-    gone = find_leaks(marked, items, size).where("n_hit > 0").select(F.col("doc_id").alias("_digest")).distinct()
-    return docs.withColumn("_digest", row_digest()).join(gone, "_digest", "left_anti").select(*docs.columns)
+    return drop_rows(docs, find_leaks(marked, items, size).where("n_hit > 0").select(F.col("doc_id").alias("row")))

@@ -27,7 +27,7 @@ for the estimates; if none is left, the rest is kept. An empty table gives no ro
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE_CHARS, row_digest, words_of
+from clickloom.llm.common import SPACE_CHARS, drop_rows, row_digest, words_of
 from clickloom.session import store
 
 PRIOR = 30
@@ -214,5 +214,4 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep; every column stays."""
-    bad = judge(docs.select("doc_id", "text", "lang", "source")).where("not kept").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", row_digest()).join(bad.distinct(), "_row", "left_anti").select(*docs.columns)
+    return drop_rows(docs, judge(docs.select("doc_id", "text", "lang", "source")).where("not kept"))

@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm.common import drop_rows, row_digest
 from clickloom.session import store
 
 BITS = 64
@@ -167,26 +168,29 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, block: int = 2048) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable) of every row of ``docs``."""
-    rows = store(docs.select("doc_id", fingerprint(F.col("text"), size).alias("fp")), "fingerprints")
+    """doc_id, row (its digest), fp and component_id (the smallest doc_id reachable) of every
+    row of ``docs``."""
+    prints = fingerprint(F.col("text"), size).alias("fp")
+    rows = store(docs.select("doc_id", row_digest().alias("row"), prints), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes.select("fp"), radius, block)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     component = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(component, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(component, "fp").select("doc_id", "row", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
-    """The documents less all but the first of each component; every column is kept.
+    """The documents less all but one of each component; every column is kept.
 
-    The one that stays has the component's smallest id. Rows with a null id stay, and so do
-    repeated rows of the id that stays.
+    The one that stays has the component's smallest id; of several rows with that id, the
+    first by digest. Rows of a component whose ids are all null keep the first by digest.
+    Rows that are equal in id and text stay or go together.
     """
-    gone = (
-        near_duplicates(docs.select("doc_id", "text"), size, radius)
-        .where("doc_id <> component_id")
-        .select("doc_id")
-        .distinct()
-    )
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = near_duplicates(docs.select("doc_id", "text"), size, radius)
+    # The component's number is not enough where ids are null: such components go by print.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("first")
+    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
+    found = store(found.withColumn("group", group), "components")
+    firsts = found.groupBy("group").agg(first).select("group", F.col("first.row").alias("stays"))
+    return drop_rows(docs, found.join(firsts, "group").where("row <> stays"))
