@@ -52,7 +52,7 @@ SAMPLE = 6000
 LONGEST = 40
 UNIT_MEMO = 500_000
 # Look-alike signs; signs that are not listed and are not letters are taken out.
-ALIKE = dict(zip(b"013457@$!|", b"oieastasii"))
+ALIKE = dict(zip(b"013457@$", b"oieastas"))
 _KEPT = b" \t\n\x0b\x0c\r" + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)) + bytes(ALIKE)
 _TABLE = bytes(ALIKE.get(c, c) for c in range(256))
 _DROPPED = bytes(c for c in range(256) if c not in _KEPT)
