@@ -7,8 +7,9 @@ least two lines of words, and ``min_words`` words together, that occurs elsewher
 compared byte by byte with its first occurrence (smallest id, then place) and removed if
 equal; the first occurrence stays.
 
-Only hashes of chunks are shuffled at first. The texts meet their repeated chunks by a join
-on the row; what leaves that join is the text of repeated chunks only. A chunk that very
+Only hashes of chunks are shuffled at first. Then the texts that have repeated chunks, found
+by a filter of fixed size, meet them by a join on the row; what leaves that join is the text
+of repeated chunks only. All other texts stay where they are. A chunk that very
 many documents have is one row per occurrence; nothing gathers them.
 
 Defined results: a null text stays null with no lines; an empty one has one empty line.
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import row_digest
+from clickloom.llm.common import row_digest, split_rows
 from clickloom.session import store
 
 CHUNKINGS = 6
@@ -108,8 +109,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             F.expr("row = first.row and start = first.start").alias("is_first"),
         ).alias("span"),
     )
-    by_row = met.groupBy("row").agg(F.collect_list("span").alias("spans"))
-    texts = docs.select(row_digest().alias("row"), "text").join(by_row, "row")
+    by_row = store(met.groupBy("row").agg(F.collect_list("span").alias("spans")), "repeated-spans")
+    may, _ = split_rows(docs.select(row_digest().alias("row"), "text"), by_row, "row")
+    texts = may.join(by_row, "row")
     found = texts.select("row", "spans", _texts(F.col("text"), F.col("spans")).alias("contents"))
     found = found.select("row", F.explode(F.arrays_zip("spans", "contents")).alias("x")).select(
         "row", "x.spans.*", F.col("x.contents").alias("content")
@@ -121,39 +123,40 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def _kept(text: Column, spans: Column) -> Column:
-    """A struct of the text without the spans' lines, the lines and the lines removed."""
+    """A struct of the text without the spans' lines, and the number of lines removed."""
 
-    @F.pandas_udf("text string, n_lines long, n_removed long")
+    @F.pandas_udf("text string, n_removed long")
     def of(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
         out = []
         for content, places in zip(texts, lists):
-            if content is None:
-                out.append((None, 0, 0))
+            if content is None or places is None:
+                out.append((content, 0))
                 continue
-            if places is None:
-                out.append((content, content.count("\n") + 1, 0))
-                continue
-            lines = content.split("\n")
             gone = {i for s in places for i in range(s["start"], s["start"] + s["n"])}
-            out.append(("\n".join([x for i, x in enumerate(lines) if i not in gone]), len(lines), len(gone)))
-        return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
+            left = [x for i, x in enumerate(content.split("\n")) if i not in gone]
+            out.append(("\n".join(left), len(gone)))
+        return pd.DataFrame(out, columns=["text", "n_removed"])
 
     return of(text, spans)
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All rows and columns, the text without repeated chunks, then _lines: a struct of
-    n_lines and n_removed."""
+    n_lines (before) and n_removed."""
     spans = repeated_spans(docs.select("doc_id", "text"))
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
-    by_row = by_row.withColumnRenamed("row", "_row")
-    joined = docs.withColumn("_row", row_digest()).join(by_row, "_row", "left")
-    cut = joined.withColumn("_cut", _kept(F.col("text"), F.col("_spans")))
+    by_row = store(by_row.withColumnRenamed("row", "_row"), "spans-to-remove")
+    may, rest = split_rows(docs.withColumn("_row", row_digest()), by_row, "_row")
+    cut = may.join(by_row, "_row", "left").withColumn("_cut", _kept(F.col("text"), F.col("_spans")))
     changed = {"text": F.col("_cut.text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("_cut.n_removed") > 0, F.length("_cut.text").cast(kind)).otherwise(
-            F.col("n_chars")
-        )
-    counts = F.struct("_cut.n_lines", "_cut.n_removed").alias("_lines")
-    return cut.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns], counts)
+        fewer = F.length("_cut.text").cast(kind)
+        changed["n_chars"] = F.when(F.col("_cut.n_removed") > 0, fewer).otherwise(F.col("n_chars"))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines")
+    done = cut.select(
+        *[changed.get(c, F.col(c)).alias(c) for c in docs.columns],
+        F.struct(lines, F.col("_cut.n_removed").alias("n_removed")).alias("_lines"),
+    )
+    as_is = rest.select(*docs.columns, F.struct(lines, F.lit(0).cast("long").alias("n_removed")).alias("_lines"))
+    return done.unionAll(as_is)
