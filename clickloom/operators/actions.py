@@ -35,8 +35,8 @@ def is_click() -> Column:
     return F.coalesce(F.col("click_category_id"), F.lit(NOT_A_CLICK)) != NOT_A_CLICK
 
 
-def category_actions(actions: DataFrame) -> DataFrame:
-    """One row (kind, category_id) per category touched by an action.
+def category_actions(actions: DataFrame, *keep: str) -> DataFrame:
+    """One row (kind, category_id and the columns ``keep``) per category touched by an action.
 
     The first matching kind wins: a click, else the ordered categories, else the
     paid ones. Empty list elements are dropped.
@@ -48,5 +48,5 @@ def category_actions(actions: DataFrame) -> DataFrame:
         .when(orders.isNotNull(), F.split(orders, ","))
         .when(payments.isNotNull(), F.split(payments, ","))
     )
-    touched = actions.select(kind.alias("kind"), F.explode(categories).alias("category_id"))
+    touched = actions.select(*keep, kind.alias("kind"), F.explode(categories).alias("category_id"))
     return touched.where(F.col("category_id") != "")

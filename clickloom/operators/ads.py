@@ -51,13 +51,32 @@ def malformed_ads_log(lines: DataFrame) -> DataFrame:
     return lines.where(~_is_well_formed(F.col("value")))
 
 
+def later_than(lines: DataFrame, limit: int) -> DataFrame:
+    """The well-formed lines with a time after ``limit``."""
+    return lines.where(_is_well_formed(F.col("value")) & (_millis(F.col("value")) > limit))
+
+
+def event_hour(millis: Column) -> Column:
+    """``yyyy-MM-dd-HH`` of a time in milliseconds."""
+    return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd-HH")
+
+
+def check_window(minutes: int) -> None:
+    """A minute of day names one minute only, so a window is a day at most."""
+    if not 0 < minutes <= 24 * 60:
+        raise ValueError("the window must be longer than 0 and at most 24 hours")
+
+
 def with_date(logs: DataFrame) -> DataFrame:
     return logs.withColumn("date", event_date(F.col("timestamp")))
 
 
-def batch_user_ad_counts(logs: DataFrame) -> DataFrame:
-    """Clicks per batch, date, user and ad, with the total up to that batch."""
-    per_batch = with_date(logs).groupBy("batch_id", *USER_AD).agg(F.count("*").alias("clicks"))
+def batch_user_ad_counts(logs: DataFrame, *more: Column) -> DataFrame:
+    """Clicks per batch, date, user and ad, with the total up to that batch.
+
+    ``more`` are further aggregates of the same groups.
+    """
+    per_batch = with_date(logs).groupBy("batch_id", *USER_AD).agg(F.count("*").alias("clicks"), *more)
     so_far = Window.partitionBy(*USER_AD).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return per_batch.withColumn("running_clicks", F.sum("clicks").over(so_far))
 
@@ -68,12 +87,13 @@ def replay_blacklist(logs: DataFrame, threshold: int = 100) -> DataFrame:
     A user's clicks all count until the user is listed, so the totals of all clicks
     give the batch of listing; no step-by-step simulation is needed.
     """
-    return (
-        batch_user_ad_counts(logs)
-        .where(F.col("running_clicks") >= threshold)
-        .groupBy("userid")
-        .agg(F.min("batch_id").alias("listed_batch"))
-    )
+    return blacklist_of(batch_user_ad_counts(logs), threshold)
+
+
+def blacklist_of(counts: DataFrame, threshold: int = 100) -> DataFrame:
+    """The same from the counts of ``batch_user_ad_counts``."""
+    reached = counts.where(F.col("running_clicks") >= threshold)
+    return reached.groupBy("userid").agg(F.min("batch_id").alias("listed_batch"))
 
 
 def drop_blacklisted(logs: DataFrame, blacklist: DataFrame) -> DataFrame:
@@ -112,18 +132,23 @@ def top_area_ads_json(top: DataFrame) -> DataFrame:
     )
 
 
-def recent_clicks(logs: DataFrame, blacklist: DataFrame, minutes: int = 60) -> DataFrame:
+def recent_clicks(
+    logs: DataFrame, blacklist: DataFrame, minutes: int = 60, latest: DataFrame | None = None
+) -> DataFrame:
     """Logs that pass the blacklist and are later than ``minutes`` before the latest such.
 
-    A minute of day names one minute only, so ``minutes`` is a day at most. The latest
-    click is found from one row per batch and user, and older logs are dropped before
-    the blacklist join.
+    ``latest`` has the time of the latest click for each batch and user (``latest_clicks``)
+    where that is known already. Older logs are dropped before they are joined.
     """
-    if not 0 < minutes <= 24 * 60:
-        raise ValueError("the window must be longer than 0 and at most 24 hours")
-    last_of_user = logs.groupBy("batch_id", "userid").agg(F.max("timestamp").alias("timestamp"))
-    latest = drop_blacklisted(last_of_user, blacklist).agg(F.max("timestamp") - F.lit(minutes * 60_000))
-    return drop_blacklisted(logs.where(F.col("timestamp") > latest.scalar()), blacklist)
+    check_window(minutes)
+    latest = latest_clicks(logs) if latest is None else latest
+    edge = drop_blacklisted(latest, blacklist).agg(F.max("timestamp") - F.lit(minutes * 60_000))
+    return drop_blacklisted(logs.where(F.col("timestamp") > edge.scalar()), blacklist)
+
+
+def latest_clicks(logs: DataFrame) -> DataFrame:
+    """The time of the latest click of each batch and user."""
+    return logs.groupBy("batch_id", "userid").agg(F.max("timestamp").alias("timestamp"))
 
 
 def ad_minute_counts(logs: DataFrame, count=None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from clickloom.functions import city_share_text, percent
 from clickloom.operators.joins import lookup
 from clickloom.operators.ranking import top_values_with_ties
+from clickloom.session import store
 
 GROUP = ["area", "product_name"]
 
@@ -62,8 +63,10 @@ def city_click_ratio(city_counts: DataFrame) -> DataFrame:
 def area_product_top(city_counts: DataFrame, n: int = 3) -> DataFrame:
     """Products ranked ``n`` or better by clicks in their area, with the city shares.
 
-    Equal counts share a rank, so an area may have more than ``n`` rows.
+    Equal counts share a rank, so an area may have more than ``n`` rows. The counts, at
+    most cities x products rows, are written out, since the ranks and the report need them.
     """
+    city_counts = store(city_counts, "city-counts")
     return top_values_with_ties(
         city_click_ratio(city_counts), ["area"], "product_count", n, area_product_counts(city_counts)
     )

@@ -16,6 +16,26 @@ def category_action_counts(actions: DataFrame) -> DataFrame:
     )
 
 
+def category_session_actions(actions: DataFrame) -> DataFrame:
+    """Clicks, orders and payments per category and session; both reports follow from it."""
+    return category_actions(actions, "session_id").groupBy("category_id", "session_id").agg(
+        F.count_if(F.col("kind") == "click").alias("click_count"),
+        F.count_if(F.col("kind") == "order").alias("order_count"),
+        F.count_if(F.col("kind") == "pay").alias("pay_count"),
+    )
+
+
+def counts_of_categories(session_actions: DataFrame) -> DataFrame:
+    """The counts of ``category_action_counts`` from those per session."""
+    kinds = ("click_count", "order_count", "pay_count")
+    return session_actions.groupBy("category_id").agg(*[F.sum(k).alias(k) for k in kinds])
+
+
+def clicks_of_sessions(session_actions: DataFrame) -> DataFrame:
+    """The counts of ``session_clicks`` from those of all kinds."""
+    return session_actions.where("click_count > 0").select("category_id", "session_id", "click_count")
+
+
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` categories with most payments, then orders, then clicks.
 

@@ -25,16 +25,16 @@ def page_views(actions: DataFrame, pages: Sequence[int]) -> DataFrame:
     )
 
 
-def hour_of(time_text: Column) -> Column:
-    """``yyyy-MM-dd HH`` of an action time."""
-    return F.substring(time_text, 1, 13)
+def minute_of(time_text: Column) -> Column:
+    """``yyyy-MM-dd HH:mm`` of an action time."""
+    return F.substring(time_text, 1, 16)
 
 
 def page_jumps(
     actions: DataFrame,
     pairs: Sequence[tuple[int, int]],
     order_by: Sequence[str] = ("action_time", "page_id"),
-    slice_of: Callable[[Column], Column] = hour_of,
+    slice_of: Callable[[Column], Column] = minute_of,
 ) -> DataFrame:
     """How often a session goes from one page directly to another, for ``pairs``.
 
@@ -47,6 +47,31 @@ def page_jumps(
     last page. Those rows, one per session and slice, then show the moves from the
     end of a slice to the start of the session's next one.
     """
+    totals = _totals(actions, pairs, [], order_by, slice_of)
+    return totals.select(F.inline(_per_pair(pairs))).where(F.col("jumps") > 0)
+
+
+def _per_pair(pairs: Sequence[tuple[int, int]]) -> Column:
+    return F.array(
+        *[
+            F.struct(
+                F.lit(a).cast("long").alias("from_page"),
+                F.lit(b).cast("long").alias("to_page"),
+                F.col(f"jumps_{i}").alias("jumps"),
+            )
+            for i, (a, b) in enumerate(pairs)
+        ]
+    )
+
+
+def _totals(
+    actions: DataFrame,
+    pairs: Sequence[tuple[int, int]],
+    pages: Sequence[int],
+    order_by: Sequence[str],
+    slice_of: Callable[[Column], Column],
+) -> DataFrame:
+    """One row: jumps_0.. of the pairs and views_0.. of the pages, from one pass."""
     in_slice = Window.partitionBy("session_id", "slice").orderBy(*order_by)
     in_session = Window.partitionBy("session_id").orderBy("slice")
 
@@ -63,25 +88,18 @@ def page_jumps(
     )
     slices = steps.groupBy("session_id", "slice").agg(
         *[moved("page_id", "next_page", pair).alias(f"jumps_{i}") for i, pair in enumerate(pairs)],
+        *[F.count_if(F.col("page_id") == page).alias(f"views_{i}") for i, page in enumerate(pages)],
         F.max(F.when(F.col("is_first"), F.col("page_id"))).alias("first_page"),
         F.max(F.when(F.col("is_last"), F.col("page_id"))).alias("last_page"),
     )
     linked = slices.withColumn("next_first_page", F.lead("first_page").over(in_session))
-    totals = linked.agg(
+    return linked.agg(
         *[
             (F.sum(f"jumps_{i}") + moved("last_page", "next_first_page", pair)).alias(f"jumps_{i}")
             for i, pair in enumerate(pairs)
-        ]
+        ],
+        *[F.sum(f"views_{i}").alias(f"views_{i}") for i in range(len(pages))],
     )
-    per_pair = [
-        F.struct(
-            F.lit(a).cast("long").alias("from_page"),
-            F.lit(b).cast("long").alias("to_page"),
-            F.col(f"jumps_{i}").alias("jumps"),
-        )
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return totals.select(F.inline(F.array(*per_pair))).where(F.col("jumps") > 0)
 
 
 def page_jump_ratio(
@@ -89,23 +107,25 @@ def page_jump_ratio(
     flow: Sequence[str],
     reverse: bool = False,
     order_by: Sequence[str] = ("action_time", "page_id"),
-    slice_of: Callable[[Column], Column] = hour_of,
+    slice_of: Callable[[Column], Column] = minute_of,
 ) -> DataFrame:
     """Jumps per view of the pair's first page, as (page_jump "a-b", ratio).
 
     ``reverse`` counts the moves from b back to a instead, still named "a-b" and
     still divided by the views of a.
     """
-    pairs = flow_pairs(flow)
-    if reverse:
-        moved = page_jumps(actions, [(b, a) for a, b in pairs], order_by, slice_of).select(
-            F.col("to_page").alias("page_id"), F.col("from_page").alias("other_page"), "jumps"
-        )
-    else:
-        moved = page_jumps(actions, pairs, order_by, slice_of).select(
-            F.col("from_page").alias("page_id"), F.col("to_page").alias("other_page"), "jumps"
-        )
-    return moved.join(page_views(actions, flow_pages(flow)), "page_id", "left").select(
-        F.concat_ws("-", "page_id", "other_page").alias("page_jump"),
-        (F.col("jumps").cast("double") / F.coalesce("views", F.lit(1)).cast("double")).alias("ratio"),
+    pairs, pages = flow_pairs(flow), flow_pages(flow)
+    moves = [(b, a) for a, b in pairs] if reverse else pairs
+    totals = _totals(actions, moves, pages, order_by, slice_of)
+    ratios = F.array(
+        *[
+            F.struct(
+                F.lit(f"{a}-{b}").alias("page_jump"),
+                F.col(f"jumps_{i}").alias("jumps"),
+                F.greatest(F.col(f"views_{pages.index(a)}"), F.lit(1)).alias("views"),
+            )
+            for i, (a, b) in enumerate(pairs)
+        ]
     )
+    found = totals.select(F.inline(ratios)).where(F.col("jumps") > 0)
+    return found.select("page_jump", (F.col("jumps").cast("double") / F.col("views").cast("double")).alias("ratio"))

@@ -5,7 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.operators.joins import join_on
+from clickloom.operators.joins import join_on, lookup
+from clickloom.session import store
 
 
 def top_rows(
@@ -30,10 +31,11 @@ def top_values_with_ties(
     rows are compared with it where they lie: however many rows tie, they need not
     meet in one task, as they would in a rank() window.
 
-    ``values`` gives the same group and value pairs where they are cheaper to get.
+    ``values`` gives the same group and value pairs where they are cheaper to get. The
+    floors, a row per group, are written out: their size then decides how they are joined.
     """
     pairs = (df if values is None else values).select(*group, value)
     floors = (
         top_rows(pairs, group, [F.desc(value)], n, "_position").groupBy(*group).agg(F.min(value).alias("_floor"))
     )
-    return join_on(df, floors, group).where(F.col(value) >= F.col("_floor")).drop("_floor")
+    return join_on(df, lookup(store(floors, "floors")), group).where(F.col(value) >= F.col("_floor")).drop("_floor")

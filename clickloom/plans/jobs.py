@@ -7,11 +7,11 @@ A writer is called as ``write(df, result_name)``, for instance
 import time
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from clickloom.operators import actions as act
 from clickloom.operators import area, category, funnel
+from clickloom.session import store
 from clickloom.sinks.tables import stamp
 from clickloom.sources.params import JobParams
 
@@ -32,19 +32,17 @@ def new_task_id(prefix: str) -> str:
 def category_job(actions: DataFrame, users: DataFrame, params: JobParams, write: Writer) -> None:
     """Writes ``category_top10`` and ``category_session_top10``.
 
-    Both start from the same filtered actions. Only the ten chosen categories are
-    kept between the two; the actions are scanned again, with other columns, rather
-    than stored.
+    The actions are read, joined with the users and counted per category and session
+    once; both results follow from the stored counts.
     """
-    chosen = act.select_actions(actions, users, params)
-    top = category.top_categories(category.category_action_counts(chosen)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        columns = ["category_id", "click_count", "order_count", "pay_count"]
-        write(stamp(top.select(*columns), new_task_id(CATEGORY_TASK)), "category_top10")
-        sessions = category.top_category_sessions(category.session_clicks(chosen), top)
-        write(stamp(sessions, new_task_id(SESSION_TASK)), "category_session_top10")
-    finally:
-        top.unpersist()
+    counts = store(
+        category.category_session_actions(act.select_actions(actions, users, params)), "category-sessions"
+    )
+    top = category.top_categories(category.counts_of_categories(counts))
+    columns = ["category_id", "click_count", "order_count", "pay_count"]
+    write(stamp(top.select(*columns), new_task_id(CATEGORY_TASK)), "category_top10")
+    sessions = category.top_category_sessions(category.clicks_of_sessions(counts), top)
+    write(stamp(sessions, new_task_id(SESSION_TASK)), "category_session_top10")
 
 
 def page_jump_job(actions: DataFrame, params: JobParams, write: Writer, **ordering) -> None:

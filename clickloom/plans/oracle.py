@@ -26,7 +26,7 @@ CTES = {
                     then ({K} % 20 + 1) || ',' || (({K} + 3) % 20 + 1) end as pay_category_ids,
                cast(null as varchar) as pay_product_ids,
                user_id % 25 as city_id
-        from events where event_type <> 'error'""",
+        from events""",
     "cities": """
         select cast(n_nationkey as bigint) as city_id, n_name as city_name, r_name as area
         from nation join region on n_regionkey = r_regionkey""",
@@ -126,8 +126,10 @@ CTES |= {
 }
 
 
-def _with(names: str, body: str, stream_days: int | None = None) -> str:
-    parts = CTES if stream_days is None else {**CTES, "logs": _logs(stream_days)}
+def _with(names: str, body: str, stream_days: int | dict | None = None) -> str:
+    """``stream_days``: days per batch, or parts to use instead of the usual ones."""
+    other = stream_days if isinstance(stream_days, dict) else {"logs": _logs(stream_days)} if stream_days else {}
+    parts = CTES | other
     ctes = ",\n".join(f"{name} as ({parts[name]})" for name in names.split())
     return f"with {ctes}\n{body}"
 
@@ -258,3 +260,23 @@ ORACLE_SQL = {
     "stream_last_hour_ads": _with(f"{KEPT} recent", RECENT_JSON, STREAM_DAYS),
     "stream_word_count": WORDS,
 }
+
+_ON_TIME = CTES["lines"].rstrip() + " where event_type <> 'error'"
+_BY_USER = _logs(1).replace(
+    f"timestamp // {td.MILLIS_PER_DAY}", "cast(userid as bigint) % 3"
+)
+ORACLE_SQL |= {
+    "job_category_top10": ORACLE_SQL["category_top10"],
+    "job_category_session_top10": ORACLE_SQL["category_session_top10"],
+    "job_page_jump_ratio": ORACLE_SQL["page_jump_ratio"],
+    "job_area_count_info": ORACLE_SQL["area_product_top3"],
+    "date_area_city_ad_keys": _with(
+        f"{KEPT} city_ad_counts",
+        "select date, area || ':' || city || ':' || adid as field, cast(clicks as varchar) as value from city_ad_counts",
+    ),
+    "stream_late_and_future_clicks": _with(
+        f"{KEPT} city_ad_counts",
+        "select area, city, adid, clicks, date from city_ad_counts",
+        {"lines": _ON_TIME, "logs": _BY_USER},
+    ),
+}

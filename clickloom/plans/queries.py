@@ -5,8 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions import composite_key
 from clickloom.operators import actions as act
 from clickloom.operators import ads, area, category, funnel, words
+from clickloom.plans import jobs
 from clickloom.session import configure, new_shared_dir, store
 from clickloom.sources import testdata as td
 from clickloom.sources.params import JobParams
@@ -98,9 +100,9 @@ def category_session_counts(spark, sf_dir):
 
 @query
 def category_session_top10(spark, sf_dir):
-    selected = _selected(spark, sf_dir)
-    top = category.top_categories(category.category_action_counts(selected))
-    return category.top_category_sessions(category.session_clicks(selected), top)
+    counts = store(category.category_session_actions(_selected(spark, sf_dir)), "category-sessions")
+    top = category.top_categories(category.counts_of_categories(counts))
+    return category.top_category_sessions(category.clicks_of_sessions(counts), top)
 
 
 # Page flow
@@ -132,6 +134,40 @@ def page_jump_ratio_reversed(spark, sf_dir):
     )
 
 
+# Jobs: what they hand to their writer, without the task id of the run
+
+
+def _written(job, *args, result: str, **options):
+    found = {}
+    job(*args, lambda df, name: found.update({name: df.drop("task_id")}), **options)
+    return found[result]
+
+
+@query
+def job_category_top10(spark, sf_dir):
+    actions, users = td.user_visit_action(spark, sf_dir), td.user_info(spark, sf_dir)
+    return _written(jobs.category_job, actions, users, PARAMS, result="category_top10")
+
+
+@query
+def job_category_session_top10(spark, sf_dir):
+    actions, users = td.user_visit_action(spark, sf_dir), td.user_info(spark, sf_dir)
+    return _written(jobs.category_job, actions, users, PARAMS, result="category_session_top10")
+
+
+@query
+def job_page_jump_ratio(spark, sf_dir):
+    actions = td.user_visit_action(spark, sf_dir)
+    return _written(jobs.page_jump_job, actions, PARAMS, result="jump_page_ratio", order_by=td.ACTION_ORDER)
+
+
+@query
+def job_area_count_info(spark, sf_dir):
+    actions = td.user_visit_action(spark, sf_dir)
+    dimensions = td.city_info(spark, sf_dir), td.product_info(spark, sf_dir)
+    return _written(jobs.area_job, actions, *dimensions, result="area_count_info")
+
+
 # Ads
 
 
@@ -190,6 +226,13 @@ def date_area_city_ad_counts(spark, sf_dir):
     return _city_ad_counts(spark, sf_dir)
 
 
+@query
+def date_area_city_ad_keys(spark, sf_dir):
+    # The counts under one composite key per date, as a hash of a key-value store has them.
+    key = composite_key("area", "city", "adid").alias("field")
+    return _city_ad_counts(spark, sf_dir).select("date", key, F.col("clicks").cast("string").alias("value"))
+
+
 @query
 def date_area_ad_counts(spark, sf_dir):
     return ads.area_ad_counts(_city_ad_counts(spark, sf_dir))
@@ -206,8 +249,13 @@ def top3_ads_per_area_day_json(spark, sf_dir):
 
 
 def _last_hour(spark, sf_dir):
+    # One pass over the raw log gives the blacklist and the window's edge, a second the clicks.
     logs = _logs(spark, sf_dir)
-    return ads.ad_minute_counts(ads.recent_clicks(logs, _blacklist(logs), td.WINDOW_MINUTES))
+    counts = store(ads.batch_user_ad_counts(logs, F.max("timestamp").alias("timestamp")), "user-ad-counts")
+    blacklist = store(ads.blacklist_of(counts, td.BLACKLIST_THRESHOLD), "blacklist")
+    return ads.ad_minute_counts(
+        ads.recent_clicks(logs, blacklist, td.WINDOW_MINUTES, ads.latest_clicks(counts))
+    )
 
 
 @query
@@ -261,6 +309,22 @@ def stream_last_hour_ads(spark, sf_dir):
     return _run_ads_stream(spark, sf_dir).result(spark, "last_hour")
 
 
+@query
+def stream_late_and_future_clicks(spark, sf_dir):
+    """Every batch has clicks of all dates; those of `error` events lie a century ahead."""
+    millis = F.regexp_extract("value", "^[0-9]+", 0).cast("long")
+    ahead = F.concat(millis + 36_500 * td.MILLIS_PER_DAY, F.regexp_extract("value", " .*", 0))
+    user = F.element_at(F.split("value", " "), -2).cast("long")
+    lines = td.ads_log_lines(spark, sf_dir).select(
+        (user % 3).alias("batch_id"),
+        F.when(F.col("event_type") == "error", ahead).otherwise(F.col("value")).alias("value"),
+    )
+    root = new_shared_dir(spark, "ads-stream")
+    pipeline = AdsPipeline(f"{root}/job", td.BLACKLIST_THRESHOLD, td.WINDOW_MINUTES)
+    replay(spark, lines, pipeline, f"{root}/lines")
+    return pipeline.result(spark, "area_city_ad_counts")
+
+
 @query
 def stream_word_count(spark, sf_dir):
     root = new_shared_dir(spark, "word-stream")

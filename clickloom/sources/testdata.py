@@ -56,7 +56,7 @@ def _two_categories(step: int) -> Column:
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     no_click = F.lit(NOT_A_CLICK)
-    return _read(spark, sf_dir, "events").where(F.col("event_type") != "error").select(
+    return _read(spark, sf_dir, "events").select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd").alias("date"),
         "user_id",

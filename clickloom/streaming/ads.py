@@ -1,23 +1,30 @@
 """The ad-click stream: blacklist, running counts, top ads and last hour in one query.
 
-One query with one ``foreachBatch`` keeps the order of effects within a batch:
-drop the clicks of listed users, count the rest, list the users that reached the
-threshold (effective from the next batch), then publish the results.
+One query with one ``foreachBatch`` keeps the order of effects within a batch: set aside
+what cannot count, drop the clicks of listed users, count the rest, list the users that
+reached the threshold (effective from the next batch), then publish the results.
 
-Results, as parquet below the root folder:
+Below the root folder, as parquet:
 
-    results/area_city_ad_counts   date (partition), area, city, adid, clicks
-    results/top_area_ads          date (partition), area, top_ads
-    results/last_hour             adid, minutes
-    quarantine                    batch_id (partition), value
-    state                         counters carried from batch to batch
+    tables/area_city_ad_counts, top_area_ads, last_hour   results, read by ``result``
+    tables/user_ad, recent, blacklist, clock               what the next batches need
+    quarantine/batch_id=...                                value, reason
+    late/batch_id=...                                      clicks of expired dates
+    finished/<batch>                                       the last batch that is whole
 
-A batch rewrites the dates it touched. Nothing expires unless ``retain_days`` is
-given; a click that comes late counts for its own date.
+A batch replaces the dates it touched and reads no others.
+
+Clock: the latest click's time. A click later than the time of its batch by more than
+``ahead_minutes`` is set aside as ``future`` and moves nothing. With ``retain_days`` the
+counters of dates before the clock's date less that many days are given up, and later
+clicks of such dates go to ``late``; their published results stay as they were. Without it
+nothing expires, and a late click counts for its own date.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,35 +38,20 @@ from clickloom.functions import event_date
 from clickloom.operators import ads
 from clickloom.operators.joins import lookup
 from clickloom.session import configure
-from clickloom.streaming.state import CounterTable
-
-# The blacklist is not kept by date.
-BLACKLIST_PART = "all"
-
-
-def _text(*names: str) -> list[T.StructField]:
-    return [T.StructField(name, T.StringType()) for name in names]
-
-
-USER_AD_KEYS = T.StructType(_text("userid", "adid"))
-AREA_AD_KEYS = T.StructType(_text("area", "city", "adid"))
-RECENT_KEYS = T.StructType([*_text("adid"), T.StructField("timestamp", T.LongType())])
-BLACKLIST_KEYS = T.StructType([*_text("userid"), T.StructField("listed_batch", T.LongType())])
-
-RESULTS = {
-    "area_city_ad_counts": "area string, city string, adid string, clicks long, date string",
-    "top_area_ads": "area string, top_ads string, date string",
+from clickloom.streaming.state import Folder, VersionedTable
+
+# The part of a table that is not kept by date.
+WHOLE = "all"
+TABLES = {
+    "user_ad": "userid string, adid string, clicks long, added long",
+    "area_city_ad_counts": "area string, city string, adid string, clicks long",
+    "top_area_ads": "area string, top_ads string",
+    "recent": "adid string, timestamp long, clicks long",
     "last_hour": "adid string, minutes string",
+    "blacklist": "userid string, listed_batch long",
+    "clock": "latest long",
 }
-
-
-def _columns(result: str) -> list[str]:
-    return T.StructType.fromDDL(RESULTS[result]).names
-
-
-def _added(kept: DataFrame, part: str, *keys: str) -> DataFrame:
-    """What a batch adds to a counter table."""
-    return kept.groupBy(F.col(part).alias("part"), *keys).agg(F.count("*").alias("n"))
+BY_DATE = ("area_city_ad_counts", "top_area_ads")
 
 
 @dataclass
@@ -71,7 +63,12 @@ class AdsPipeline:
     window_minutes: int = 60
     top_n: int = 3
     retain_days: int | None = None
-    compact_every: int = 20
+    ahead_minutes: int = 10
+    # The time of a batch in milliseconds.
+    batch_time: Callable[[], int] = lambda: time.time_ns() // 1_000_000
+
+    def __post_init__(self):
+        ads.check_window(self.window_minutes)
 
     def start(self, lines: DataFrame, **trigger) -> StreamingQuery:
         """Run on a streaming frame with a column ``value``.
@@ -79,6 +76,7 @@ class AdsPipeline:
         Started again with the same root it goes on where it stopped. The default
         trigger is every 5 seconds; ``availableNow=True`` processes what is there.
         """
+        configure(lines.sparkSession)
         trigger = trigger or {"processingTime": "5 seconds"}
         return (
             lines.select("value")
@@ -90,105 +88,132 @@ class AdsPipeline:
 
     def process(self, lines: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch. Running the latest batch again changes nothing."""
-        spark = configure(lines.sparkSession)
+        spark = lines.sparkSession
         lines.persist(StorageLevel.MEMORY_AND_DISK)
-        logs = ads.parse_ads_log(lines).join(lookup(self.blacklist(spark, batch_id)), "userid", "left_anti")
-        kept = ads.with_date(logs).persist(StorageLevel.MEMORY_AND_DISK)
+        limit = self.batch_time() + self.ahead_minutes * 60_000
+        before = self._table(spark, "clock").read([WHOLE], batch_id - 1).agg(F.max("latest")).first()[0]
+        expired = self._expired_before(spark, before)
+        logs = ads.with_date(ads.parse_ads_log(lines)).where(F.col("timestamp") <= limit)
+        listed = lookup(self.blacklist(spark, batch_id - 1))
+        kept = logs.where(F.col("date") >= expired).join(listed, "userid", "left_anti")
+        kept = kept.withColumn("hour", ads.event_hour(F.col("timestamp"))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # Four outputs of the same clicks that do not read each other's results. Their
-            # jobs belong to the query's job group, so that stopping it stops them.
-            steps = [
-                lambda: self._quarantine(lines, batch_id),
-                lambda: self._update_blacklist(kept, spark, batch_id),
-                lambda: self._update_counts(kept, spark, batch_id),
-                lambda: self._update_last_hour(kept, spark, batch_id),
-            ]
-            with ThreadPoolExecutor(len(steps)) as pool:
-                outputs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-            for output in outputs:
-                output.result()
+            self._set_aside(lines, logs.where(F.col("date") < expired), limit, batch_id)
+            seen = kept.agg(F.max("timestamp").alias("latest"), F.collect_set("date").alias("dates")).first()
+            latest = max((x for x in (before, seen.latest) if x is not None), default=None)
+            if seen.dates:
+                # Outputs of the same clicks that do not read each other's results. Their
+                # jobs belong to the query's job group, so that stopping it stops them.
+                steps = [
+                    lambda: self._update_blacklist(kept, spark, batch_id, seen.dates),
+                    lambda: self._update_counts(kept, spark, batch_id, seen.dates),
+                    lambda: self._update_last_hour(kept, spark, batch_id, latest),
+                ]
+                with ThreadPoolExecutor(len(steps)) as pool:
+                    outputs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+                for output in outputs:
+                    output.result()
+                clock = spark.createDataFrame([(latest, WHOLE)], "latest long, part string")
+                self._table(spark, "clock").write(clock, batch_id)
+            self._finish(spark, batch_id, seen.dates, latest)
         finally:
             kept.unpersist()
             lines.unpersist()
 
-    def blacklist(self, spark: SparkSession, batch_id: int | None = None) -> DataFrame:
-        """Listed users and the batch that listed them; for a batch, those it must drop."""
-        listed = self._state(spark, "blacklist", BLACKLIST_KEYS).read(batch_id, finished_only=True)
-        return listed.select("userid", "listed_batch")
+    def blacklist(self, spark: SparkSession, last: int | None = None) -> DataFrame:
+        """Listed users and the batch that listed them, up to batch ``last``."""
+        last = self._finished(spark) if last is None else last
+        return self._table(spark, "blacklist").read([WHOLE], last).select("userid", "listed_batch")
 
     def user_ad_counts(self, spark: SparkSession) -> DataFrame:
         """Counted clicks per date, user and ad."""
-        return self._state(spark, "user_ad", USER_AD_KEYS).read().select(
-            F.col("part").alias("date"), "userid", "adid", F.col("n").alias("clicks")
-        )
+        return self._all(spark, "user_ad").select(F.col("part").alias("date"), "userid", "adid", "clicks")
 
     def result(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.schema(RESULTS[name]).parquet(f"{self.root}/results/{name}")
-
-    def _state(self, spark: SparkSession, name: str, keys: T.StructType) -> CounterTable:
-        return CounterTable(spark, f"{self.root}/state/{name}", keys, self.compact_every)
-
-    def _update_blacklist(self, kept: DataFrame, spark: SparkSession, batch_id: int) -> None:
-        counters = self._state(spark, "user_ad", USER_AD_KEYS)
-        touched = counters.write(batch_id, _added(kept, "date", "userid", "adid"))
+        """A result as of the last finished batch."""
+        names = T.StructType.fromDDL(TABLES[name]).names
+        date = [F.col("part").alias("date")] if name in BY_DATE else []
+        return self._all(spark, name).select(*names, *date)
+
+    def _table(self, spark: SparkSession, name: str) -> VersionedTable:
+        return VersionedTable(spark, f"{self.root}/tables/{name}", T.StructType.fromDDL(TABLES[name]))
+
+    def _all(self, spark: SparkSession, name: str) -> DataFrame:
+        table = self._table(spark, name)
+        return table.read(table.parts(), self._finished(spark))
+
+    def _finished(self, spark: SparkSession) -> int:
+        return max((int(x) for x in Folder(spark, f"{self.root}/finished").names() if x.isdigit()), default=-1)
+
+    def _expired_before(self, spark: SparkSession, latest: int | None) -> str:
+        """The first date that counts."""
+        if self.retain_days is None or latest is None:
+            return ""
+        date = F.date_sub(event_date(F.lit(latest)).cast("date"), self.retain_days).cast("string")
+        return spark.range(1).select(date).first()[0]
+
+    def _update_blacklist(self, kept: DataFrame, spark: SparkSession, batch_id: int, dates: list[str]) -> None:
+        counters = self._table(spark, "user_ad")
+        added = kept.select(F.col("date").alias("part"), "userid", "adid", F.lit(1).alias("clicks"), F.lit(1).alias("added"))
+        known = counters.read(dates, batch_id - 1).withColumn("added", F.lit(0))
+        both = known.unionByName(added).groupBy("part", "userid", "adid")
+        counters.write(both.agg(F.sum("clicks").alias("clicks"), F.sum("added").alias("added")), batch_id)
         # A counter is new at the threshold only in a batch that added to it.
-        reached = counters.read(batch_id, touched).where(
-            (F.col("n") >= self.threshold) & (F.col("last_batch") == batch_id)
-        )
-        listed = reached.select("userid").distinct().select(
-            F.lit(BLACKLIST_PART).alias("part"),
-            "userid",
-            F.lit(batch_id).cast("long").alias("listed_batch"),
-            F.lit(1).cast("long").alias("n"),
-        )
-        blacklist = self._state(spark, "blacklist", BLACKLIST_KEYS)
-        blacklist.compact(batch_id, blacklist.write(batch_id, listed))
-        counters.compact(batch_id, touched)
-        self._expire(counters, kept)
-
-    def _update_counts(self, kept: DataFrame, spark: SparkSession, batch_id: int) -> None:
-        counters = self._state(spark, "area_ad", AREA_AD_KEYS)
-        touched = counters.write(batch_id, _added(kept, "date", "area", "city", "adid"))
-        counts = counters.read(batch_id, touched).select(
-            "area", "city", "adid", F.col("n").alias("clicks"), F.col("part").alias("date")
-        )
-        top = ads.top_area_ads(ads.area_ad_counts(counts), self.top_n)
-        self._publish(counts, "area_city_ad_counts")
-        self._publish(ads.top_area_ads_json(top), "top_area_ads")
-        counters.compact(batch_id, touched)
-        self._expire(counters, kept)
-
-    def _update_last_hour(self, kept: DataFrame, spark: SparkSession, batch_id: int) -> None:
-        """Clicks later than the window before the latest click seen so far.
-
-        The state holds counts per ad and millisecond, so the edge of the window is exact.
+        reached = counters.read(dates, batch_id).where((F.col("clicks") >= self.threshold) & (F.col("added") > 0))
+        listed = reached.select("userid").distinct().withColumn("listed_batch", F.lit(batch_id).cast("long"))
+        if not listed.isEmpty():
+            every = self.blacklist(spark, batch_id - 1).unionByName(listed)
+            self._table(spark, "blacklist").write(every.withColumn("part", F.lit(WHOLE)), batch_id)
+
+    def _update_counts(self, kept: DataFrame, spark: SparkSession, batch_id: int, dates: list[str]) -> None:
+        table = self._table(spark, "area_city_ad_counts")
+        added = kept.select(F.col("date").alias("part"), "area", "city", "adid", F.lit(1).alias("clicks"))
+        both = table.read(dates, batch_id - 1).unionByName(added).groupBy("part", "area", "city", "adid")
+        table.write(both.agg(F.sum("clicks").alias("clicks")), batch_id)
+        counts = ads.area_ad_counts(table.read(dates, batch_id).withColumnRenamed("part", "date"))
+        top = ads.top_area_ads_json(ads.top_area_ads(counts, self.top_n))
+        self._table(spark, "top_area_ads").write(top.withColumnRenamed("date", "part"), batch_id)
+
+    def _update_last_hour(self, kept: DataFrame, spark: SparkSession, batch_id: int, latest: int) -> None:
+        """Clicks later than the window before the latest click.
+
+        Kept by hour with counts per ad and millisecond, so the edge of the window is exact;
+        hours before the edge are not opened again.
         """
-        recent = self._state(spark, "recent", RECENT_KEYS)
-        seen = recent.read(batch_id, finished_only=True).select("timestamp").union(kept.select("timestamp"))
-        edge = seen.agg(F.max("timestamp") - F.lit(self.window_minutes * 60_000)).first()[0]
-        if edge is None:
-            return
-        first_date = spark.range(1).select(event_date(F.lit(edge))).first()[0]
-        recent.drop_parts(first_date)
-        inside = F.col("timestamp") > edge
-        touched = recent.write(batch_id, _added(kept.where(inside), "date", "adid", "timestamp"))
-        minutes = ads.ad_minute_counts(recent.read(batch_id).where(inside), F.sum("n"))
-        result = ads.ad_minutes_json(minutes).select(*_columns("last_hour"))
-        result.write.mode("overwrite").parquet(f"{self.root}/results/last_hour")
-        recent.compact(batch_id, touched)
-
-    def _expire(self, counters: CounterTable, kept: DataFrame) -> None:
-        if self.retain_days is None:
-            return
-        oldest = kept.select(F.date_sub(F.max("date").cast("date"), self.retain_days).cast("string")).first()[0]
-        if oldest is not None:
-            counters.drop_parts(oldest)
-
-    def _quarantine(self, lines: DataFrame, batch_id: int) -> None:
-        malformed = ads.malformed_ads_log(lines)
-        malformed.write.mode("overwrite").parquet(f"{self.root}/quarantine/batch_id={batch_id}")
-
-    def _publish(self, df: DataFrame, name: str) -> None:
-        """Replace the dates in ``df``, leave the others."""
-        writer = df.select(*_columns(name)).write.mode("overwrite").partitionBy("date")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/results/{name}")
+        recent = self._table(spark, "recent")
+        edge = latest - self.window_minutes * 60_000
+        inside = kept.where(F.col("timestamp") > edge)
+        first = spark.range(1).select(ads.event_hour(F.lit(edge))).first()[0]
+        hours = [row[0] for row in inside.select("hour").distinct().collect()]  # at most 25
+        added = inside.select(F.col("hour").alias("part"), "adid", "timestamp", F.lit(1).alias("clicks"))
+        both = recent.read(hours, batch_id - 1).unionByName(added).groupBy("part", "adid", "timestamp")
+        if hours:
+            recent.write(both.agg(F.sum("clicks").alias("clicks")), batch_id)
+        window = recent.read([x for x in recent.parts() if x >= first], batch_id).where(F.col("timestamp") > edge)
+        minutes = ads.ad_minutes_json(ads.ad_minute_counts(window, F.sum("clicks")))
+        self._table(spark, "last_hour").write(minutes.withColumn("part", F.lit(WHOLE)), batch_id)
+
+    def _set_aside(self, lines: DataFrame, late: DataFrame, limit: int, batch_id: int) -> None:
+        malformed = ads.malformed_ads_log(lines).select("value", F.lit("malformed").alias("reason"))
+        future = ads.later_than(lines, limit).select("value", F.lit("future").alias("reason"))
+        for name, rows in (("quarantine", malformed.unionAll(future)), ("late", late)):
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+
+    def _finish(self, spark: SparkSession, batch_id: int, dates: list[str], latest: int | None) -> None:
+        """From here on readers see the batch; then what it replaced may go."""
+        finished = Folder(spark, f"{self.root}/finished")
+        finished.mark(str(batch_id))
+        for name in finished.names():
+            if name.isdigit() and int(name) < batch_id:
+                finished.delete(name)
+        for name in TABLES:
+            table = self._table(spark, name)
+            table.prune(table.parts() if name == "recent" else [WHOLE] if name not in (*BY_DATE, "user_ad") else dates)
+        if latest is not None:
+            edge = latest - self.window_minutes * 60_000
+            hour = spark.range(1).select(ads.event_hour(F.lit(edge))).first()[0]
+            self._table(spark, "recent").drop(hour)
+            expired = self._expired_before(spark, latest)
+            if expired:
+                self._table(spark, "user_ad").drop(expired)

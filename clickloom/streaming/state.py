@@ -1,152 +1,83 @@
-"""Counters kept between micro-batches as parquet."""
+"""Tables that a stream replaces part by part, as parquet."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Versions of a part that stay: the newest, the one before, which a repeated batch reads,
+# and one more for readers that listed the files a batch ago.
+KEPT_VERSIONS = 3
 
-class CounterTable:
-    """Counters by ``part`` (usually a date) and keys.
 
-    Batch b stores its own rows as ``kind=delta/batch_id=b/part=...``; the current
-    counter is the sum over all batches (or another ``combine``). A batch that runs
-    again replaces its rows and reads nothing but finished batches besides them, so
-    nothing counts twice. No batch writes the whole state.
+class Folder:
+    """Names and marks below a path, on whatever file system it is."""
 
-    A part with ``compact_every`` deltas is summed up into ``kind=base/batch_id=b/
-    part=...``, which stands for its deltas up to b. Parts that get no more rows are
-    left alone. What a base stands for is deleted when a later batch runs.
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm, self.path = spark._jvm, path.rstrip("/")
+        self._files = self._at("").getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, below: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}" if below else self.path)
+
+    def names(self, below: str = "") -> list[str]:
+        place = self._at(below)
+        return [f.getPath().getName() for f in self._files.listStatus(place)] if self._files.exists(place) else []
+
+    def mark(self, below: str) -> None:
+        self._files.create(self._at(below), True).close()
+
+    def delete(self, below: str) -> None:
+        self._files.delete(self._at(below), True)
+
+
+class VersionedTable:
+    """Rows by ``part`` (a date, an hour), each part in ``part=.../v=<batch>``.
+
+    A batch writes a new version of the parts it touches, whole, and looks into no other
+    part. It builds on versions of earlier batches only, so repeating it writes the same
+    again. A reader takes each part's newest version up to the last finished batch: it sees
+    a part as it was or as it is, never half of it.
     """
 
-    def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        keys: T.StructType,
-        compact_every: int = 20,
-        combine: Callable[[str], Column] = F.sum,
-    ):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.keys = keys.names
-        self.schema = T.StructType(
-            [
-                *keys.fields,
-                T.StructField("n", T.LongType()),
-                T.StructField("kind", T.StringType()),
-                T.StructField("batch_id", T.LongType()),
-                T.StructField("part", T.StringType()),
-            ]
-        )
-        self.compact_every = compact_every
-        self.combine = combine
-        root = self._hadoop_path("")
-        self._files(root).mkdirs(root)
-
-    def write(self, batch_id: int, rows: DataFrame) -> list[str]:
-        """Store the rows (part, keys, n) of a batch; returns the parts it touched."""
-        folders = self._folders()
-        bases = self._bases(folders, batch_id)
-        for kind, batch, part in folders:
-            if batch < bases.get(part, -1) or (kind == "delta" and batch == bases.get(part)):
-                self._delete(kind, batch, part)
-        self._store(rows, "delta", batch_id)
-        return sorted(part for kind, batch, part in self._folders() if (kind, batch) == ("delta", batch_id))
-
-    def read(
-        self, batch_id: int | None = None, parts: Iterable[str] | None = None, finished_only: bool = False
-    ) -> DataFrame:
-        """Counters (part, keys, n, last_batch), as batch ``batch_id`` sees them.
-
-        That is with the rows of the batch itself unless ``finished_only``. Without
-        a batch it is everything stored. ``last_batch`` is the last batch that gave
-        the counter a row, or the one that compacted it.
-        """
-        bases = self._bases(self._folders(), batch_id)
-        # Compares partition columns only: Spark opens none of the other files.
-        live = self._is_live(bases)
-        if batch_id is not None:
-            live &= F.col("batch_id") <= (batch_id - 1 if finished_only else batch_id)
-        if parts is not None:
-            live &= F.col("part").isin(*parts)
-        rows = self.spark.read.schema(self.schema).option("basePath", self.path).parquet(self.path)
-        return (
-            rows.where(live)
-            .groupBy("part", *self.keys)
-            .agg(self.combine("n").alias("n"), F.max("batch_id").alias("last_batch"))
-        )
-
-    def compact(self, batch_id: int, touched: Sequence[str]) -> None:
-        """Sum up the touched parts that have many deltas. Comes last in a batch."""
-        folders = self._folders()
-        bases = self._bases(folders, batch_id)
-        deltas = dict.fromkeys(touched, 0)
-        for kind, batch, part in folders:
-            if kind == "delta" and part in deltas and batch > bases.get(part, -1):
-                deltas[part] += 1
-        full = [part for part, number in deltas.items() if number >= self.compact_every]
-        if full:
-            self._store(self.read(batch_id, full), "base", batch_id)
-
-    def drop_parts(self, older_than: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark, self.folder, self.columns = spark, Folder(spark, path), schema.names
+        places = [T.StructField("part", T.StringType()), T.StructField("v", T.LongType())]
+        self.schema = T.StructType([*schema.fields, *places])
+
+    def parts(self) -> list[str]:
+        return [name.removeprefix("part=") for name in self.folder.names() if name.startswith("part=")]
+
+    def versions(self, part: str) -> list[int]:
+        names = self.folder.names(f"part={part}")
+        return sorted(int(name.removeprefix("v=")) for name in names if name.startswith("v="))
+
+    def read(self, parts: Iterable[str], last: int) -> DataFrame:
+        """The newest versions up to batch ``last`` of the given parts."""
+        paths = []
+        for part in parts:
+            found = [v for v in self.versions(part) if v <= last]
+            if found:
+                paths.append(f"{self.folder.path}/part={part}/v={found[-1]}")
+        if not paths:
+            return self.spark.createDataFrame([], self.schema).drop("v")
+        return self.spark.read.schema(self.schema).option("basePath", self.folder.path).parquet(*paths).drop("v")
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """A new version of every part that ``rows`` has; a large part is several files."""
+        numbered = rows.select(*self.columns, "part").selectExpr("*", f"{int(batch_id)}L as v").hint("rebalance", "part")
+        writer = numbered.write.mode("overwrite").partitionBy("part", "v")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.folder.path)
+
+    def prune(self, parts: Iterable[str]) -> None:
+        for part in parts:
+            for version in self.versions(part)[:-KEPT_VERSIONS]:
+                self.folder.delete(f"part={part}/v={version}")
+
+    def drop(self, older_than: str) -> None:
         """Delete the parts that sort before ``older_than``."""
-        for kind, batch, part in self._folders():
+        for part in self.parts():
             if part < older_than:
-                self._delete(kind, batch, part)
-
-    def _store(self, rows: DataFrame, kind: str, batch_id: int) -> None:
-        path = f"{self.path}/kind={kind}/batch_id={batch_id}"
-        rows.select(*self.keys, "n", "part").write.mode("overwrite").partitionBy("part").parquet(path)
-
-    def _bases(self, folders: list[tuple[str, int, str]], before: int | None) -> dict[str, int]:
-        """The latest base of each part from the batches before ``before``.
-
-        A base of the running batch may be the remains of a failed attempt, and a
-        base without its success mark is one.
-        """
-        complete = {
-            int(status.getPath().getParent().getName().split("=", 1)[1])
-            for status in self._glob("kind=base/batch_id=*/_SUCCESS")
-        }
-        latest: dict[str, int] = {}
-        for kind, batch, part in folders:
-            if kind == "base" and batch in complete and (before is None or batch < before):
-                latest[part] = max(batch, latest.get(part, -1))
-        return latest
-
-    @staticmethod
-    def _is_live(bases: dict[str, int]) -> Column:
-        is_delta = F.col("kind") == "delta"
-        if not bases:
-            return is_delta
-        entries = [F.lit(x) for entry in bases.items() for x in entry]
-        upto = F.coalesce(F.element_at(F.create_map(*entries), F.col("part")), F.lit(-1))
-        return (is_delta & (F.col("batch_id") > upto)) | (~is_delta & (F.col("batch_id") == upto))
-
-    def _folders(self) -> list[tuple[str, int, str]]:
-        """(kind, batch, part) of every folder, from their names."""
-        found = []
-        for status in self._glob("kind=*/batch_id=*/part=*"):
-            kind, batch, part = (
-                name.split("=", 1)[1] for name in status.getPath().toString().rsplit("/", 3)[1:]
-            )
-            found.append((kind, int(batch), part))
-        return found
-
-    def _glob(self, pattern: str) -> list:
-        path = self._hadoop_path(pattern)
-        return list(self._files(path).globStatus(path) or [])
-
-    def _delete(self, kind: str, batch: int, part: str) -> None:
-        folder = self._hadoop_path(f"kind={kind}/batch_id={batch}/part={part}")
-        self._files(folder).delete(folder, True)
-
-    def _hadoop_path(self, below: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}")
-
-    def _files(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+                self.folder.delete(f"part={part}")

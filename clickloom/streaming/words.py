@@ -1,48 +1,33 @@
 """Running word count: a stateful streaming aggregation."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.words import word_count
-from clickloom.streaming.state import CounterTable
-
-# The counts are not kept by date; one part makes one file per state partition and batch.
-PART = "all"
-WORD_KEY = T.StructType([T.StructField("word", T.StringType())])
+from clickloom.session import configure
 
 
 @dataclass
 class WordCountPipeline:
-    """Keeps the count of every word below ``root``.
+    """Keeps the count of every word in Spark's state store below ``root``.
 
-    Spark's state store holds the counts; a batch emits the words it changed, and
-    the latest (greatest) count of a word is the current one.
+    Nothing else stores the counts: ``result`` reads the state of the last finished batch,
+    and ``publish(changed, batch_id)``, if given, gets the words that a batch changed.
     """
 
     root: str
-    compact_every: int = 20
+    publish: Callable[[DataFrame, int], None] | None = None
 
     def start(self, lines: DataFrame, **trigger) -> StreamingQuery:
+        configure(lines.sparkSession)
         trigger = trigger or {"processingTime": "5 seconds"}
-        return (
-            word_count(lines)
-            .writeStream.outputMode("update")
-            .foreachBatch(self.process)
-            .option("checkpointLocation", f"{self.root}/checkpoint")
-            .trigger(**trigger)
-            .start()
-        )
-
-    def process(self, changed: DataFrame, batch_id: int) -> None:
-        table = self._table(changed.sparkSession)
-        table.compact(batch_id, table.write(batch_id, changed.withColumn("part", F.lit(PART))))
+        counts = word_count(lines).writeStream.outputMode("update")
+        counts = counts.foreachBatch(self.publish) if self.publish else counts.format("noop")
+        return counts.option("checkpointLocation", f"{self.root}/checkpoint").trigger(**trigger).start()
 
     def result(self, spark: SparkSession) -> DataFrame:
-        return self._table(spark).read().select("word", "n")
-
-    def _table(self, spark: SparkSession) -> CounterTable:
-        return CounterTable(spark, f"{self.root}/counts", WORD_KEY, self.compact_every, F.max)
+        state = configure(spark).read.format("statestore").load(f"{self.root}/checkpoint")
+        return state.select("key.word", "value.count").withColumnRenamed("count", "n")

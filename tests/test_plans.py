@@ -5,16 +5,17 @@ import re
 import pytest
 from helpers import actions, rows
 
-import __spark_entry__ as entry_point
-from clickloom.operators import category, funnel
+from clickloom.operators import category, funnel, ranking
 from clickloom.operators.actions import select_actions
 from clickloom.operators.joins import lookup
+from clickloom.plans import jobs, queries
+from clickloom.plans.queries import QUERIES
 from clickloom.sinks.tables import write_parquet
 from clickloom.sources.params import JobParams
 from clickloom.sources.tables import from_rows, read_table
 
 SF_DIR = "/root/testdata/sf0.001"
-BATCH = {name: query for name, query in entry_point.queries().items() if not name.startswith("stream_")}
+BATCH = {name: query for name, query in QUERIES.items() if not name.startswith("stream_")}
 
 
 def plan(df):
@@ -32,8 +33,46 @@ def test_stays_in_the_jvm_without_cross_joins(spark, name):
     "name",
     ["area_product_top3", "star_area_product_top3", "category_session_top10", "top3_ads_per_area_day"],
 )
-def test_groups_are_cut_before_the_shuffle(spark, name):
-    assert re.search(r"WindowGroupLimit.*Partial", plan(BATCH[name](spark, SF_DIR)))
+def test_groups_are_cut_before_the_shuffle(spark, monkeypatch, name):
+    # The floors of the area report are stored before the report is planned.
+    seen = []
+    kept = ranking.store
+    monkeypatch.setattr(ranking, "store", lambda df, name: seen.append(plan(df)) or kept(df, name))
+    seen.append(plan(BATCH[name](spark, SF_DIR)))
+    assert re.search(r"WindowGroupLimit.*Partial", "".join(seen))
+
+
+@pytest.mark.parametrize("name", ["page_jump_ratio", "page_jump_ratio_reversed", "job_page_jump_ratio"])
+def test_the_page_ratio_scans_once(spark, name):
+    assert plan(BATCH[name](spark, SF_DIR)).count("FileScan") == 1
+
+
+def test_the_category_job_scans_and_joins_once(spark, monkeypatch):
+    seen = []
+    kept = jobs.store
+    monkeypatch.setattr(jobs, "store", lambda df, name: seen.append(plan(df)) or kept(df, name))
+    text = plan(BATCH["job_category_session_top10"](spark, SF_DIR))
+    assert len(seen) == 1 and "events.parquet" not in text and "customer.parquet" not in text
+    assert seen[0].count("events.parquet") == 1
+
+
+def test_the_area_report_is_not_shuffled_to_meet_the_floors(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        # Below the report's estimate, above a row per area.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "8k")
+        text = plan(BATCH["star_area_product_top3"](spark, SF_DIR))
+        assert not re.search(r"Exchange hashpartitioning\((?:coalesce\()?area#\d+[^,]*(?:, )?(?:isnull[^,]*)?, \d+\)", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_the_last_hour_reads_the_log_twice(spark, monkeypatch):
+    seen = []
+    kept = queries.store
+    monkeypatch.setattr(queries, "store", lambda df, name: seen.append(plan(df)) or kept(df, name))
+    text = plan(BATCH["last_hour_ad_minutes"](spark, SF_DIR))
+    assert sum(p.count("events.parquet") for p in [*seen, text]) == 2
 
 
 def test_global_top_is_not_a_full_sort(spark):

@@ -1,106 +1,74 @@
-import random
-from collections import Counter
-
 import pytest
 from helpers import rows
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.streaming.state import CounterTable
+from clickloom.streaming.state import KEPT_VERSIONS, VersionedTable
 
-KEYS = T.StructType([T.StructField("k", T.StringType())])
+SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
 
 
-def table(spark, path, **settings):
-    return CounterTable(spark, str(path), KEYS, **settings)
+def table(spark, path):
+    return VersionedTable(spark, str(path), SCHEMA)
 
 
 def frame(spark, data):
     return spark.createDataFrame(data, "part string, k string, n long")
 
 
-def current(t, *args, **kwargs):
-    return rows(t.read(*args, **kwargs), "part", "k", "n")
+def current(t, parts=None, last=10**9):
+    return rows(t.read(t.parts() if parts is None else parts, last), "part", "k", "n")
 
 
 def test_empty(spark, tmp_path):
-    assert current(table(spark, tmp_path / "t")) == []
+    t = table(spark, tmp_path / "t")
+    assert t.parts() == [] and current(t) == [] and current(t, ["p"]) == []
 
 
-def test_sums_batches(spark, tmp_path):
+def test_a_batch_replaces_its_parts_and_leaves_the_others(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    assert t.write(0, frame(spark, [("p", "a", 1), ("q", "a", 2)])) == ["p", "q"]
-    assert t.write(1, frame(spark, [("p", "a", 5)])) == ["p"]
-    assert current(t) == [("p", "a", 6), ("q", "a", 2)]
-    assert current(t, 1, finished_only=True) == [("p", "a", 1), ("q", "a", 2)]
-    assert current(t, parts=["q"]) == [("q", "a", 2)]
-    assert rows(t.read(1, ["p"]), "last_batch") == [(1,)]
+    t.write(frame(spark, [("p", "a", 1), ("p", "b", 2), ("q", "a", 3)]), 0)
+    t.write(frame(spark, [("p", "a", 5)]), 1)
+    assert current(t) == [("p", "a", 5), ("q", "a", 3)]
+    assert current(t, last=0) == [("p", "a", 1), ("p", "b", 2), ("q", "a", 3)]
+    assert current(t, ["q"]) == [("q", "a", 3)]
+    assert current(t, last=-1) == []
 
 
-def test_repeated_batch_replaces_its_rows(spark, tmp_path):
+def test_a_repeated_batch_replaces_its_own_version(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    t.write(0, frame(spark, [("p", "a", 1)]))
-    t.write(1, frame(spark, [("p", "a", 5), ("q", "b", 1)]))
-    t.write(1, frame(spark, [("p", "a", 7)]))
-    assert current(t) == [("p", "a", 8)]
-
-
-@pytest.mark.parametrize("compact_every", [1, 3])
-def test_compaction_keeps_the_sums_when_every_batch_runs_twice(spark, tmp_path, compact_every):
-    rng = random.Random(6)
-    t = table(spark, tmp_path / "t", compact_every=compact_every)
-    expected = Counter()
-    for batch in range(8):
-        data = [(rng.choice("pq"), rng.choice("ab"), rng.randrange(9)) for _ in range(rng.randrange(4))]
-        before = sorted((*key, n) for key, n in expected.items())
-        for part, key, n in data:
-            expected[part, key] += n
-        after = sorted((*key, n) for key, n in expected.items())
-        for _ in range(2):
-            assert current(t, batch, finished_only=True) == before
-            touched = t.write(batch, frame(spark, data))
-            assert current(t, batch) == after
-            t.compact(batch, touched)
-            assert current(t) == after
-
-
-def test_superseded_files_are_deleted_by_a_later_batch(spark, tmp_path):
-    t = table(spark, tmp_path / "t", compact_every=2)
-    for batch in range(5):
-        t.compact(batch, t.write(batch, frame(spark, [("p", "a", 1)])))
-    left = sorted(p.relative_to(tmp_path / "t").as_posix() for p in (tmp_path / "t").glob("kind=*/*/part=*"))
-    # Batch 3 made a base from base 1 and deltas 2 and 3; batch 4 removed what it stands for.
-    assert left == ["kind=base/batch_id=3/part=p", "kind=delta/batch_id=4/part=p"]
-    assert current(t) == [("p", "a", 5)]
-
-
-def test_remains_of_a_failed_compaction_are_ignored(spark, tmp_path):
-    t = table(spark, tmp_path / "t", compact_every=2)
-    t.write(0, frame(spark, [("p", "a", 1)]))
-    t.compact(1, t.write(1, frame(spark, [("p", "a", 2)])))
-    (tmp_path / "t/kind=base/batch_id=1/_SUCCESS").unlink()
-    next((tmp_path / "t/kind=base/batch_id=1/part=p").glob("*.parquet")).unlink()
-    assert current(t) == [("p", "a", 3)]
-    t.write(2, frame(spark, [("p", "a", 4)]))
-    assert current(t) == [("p", "a", 7)]
-
-
-def test_drop_parts(spark, tmp_path):
+    for n in (1, 7):
+        t.write(frame(spark, [("p", "a", n)]), 0)
+    assert current(t) == [("p", "a", 7)] and t.versions("p") == [0]
+
+
+def test_old_versions_and_parts_go(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    t.write(0, frame(spark, [("2024-01-01", "a", 1), ("2024-01-02", "a", 2)]))
-    t.drop_parts("2024-01-02")
-    assert current(t) == [("2024-01-02", "a", 2)]
+    for batch in range(6):
+        t.write(frame(spark, [("2024-01-01", "a", batch)]), batch)
+    t.prune(["2024-01-01", "none"])
+    assert t.versions("2024-01-01") == [3, 4, 5] and KEPT_VERSIONS == 3
+    t.write(frame(spark, [("2024-01-02", "a", 1)]), 6)
+    t.drop("2024-01-02")
+    assert current(t) == [("2024-01-02", "a", 1)]
 
 
-def test_latest_total_with_max(spark, tmp_path):
-    t = table(spark, tmp_path / "t", combine=F.max, compact_every=2)
-    for batch, n in enumerate([1, 4, 9]):
-        t.compact(batch, t.write(batch, frame(spark, [("p", "a", n)])))
-    assert current(t) == [("p", "a", 9)]
+def test_a_write_that_fails_leaves_the_old_version(spark, tmp_path):
+    t = table(spark, tmp_path / "t")
+    t.write(frame(spark, [("p", "a", 1)]), 0)
+    broken = frame(spark, [("p", "a", 2), ("q", "b", 3)]).selectExpr(
+        "part", "k", "if(k = 'b', cast(raise_error('lost') as long), n) as n"
+    )
+    with pytest.raises(Exception, match="lost"):
+        t.write(broken, 1)
+    assert current(t) == [("p", "a", 1)]
 
 
-def test_reads_only_the_files_of_the_wanted_parts(spark, tmp_path):
+def test_opens_only_the_folders_of_the_wanted_parts(spark, tmp_path):
     t = table(spark, tmp_path / "t")
-    t.write(0, frame(spark, [("p", "a", 1), ("q", "a", 2)]))
-    plan = t.read(0, ["p"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "DataFilters: []" in plan
+    t.write(frame(spark, [(f"2024-{d:03d}", "a", d) for d in range(200)]), 0)
+    listed = []
+    names = t.folder.names
+    t.folder.names = lambda below="": listed.append(below) or names(below)
+    found = t.read(["2024-007"], 5)
+    assert rows(found, "n") == [(7,)] and listed == ["part=2024-007"]
+    assert all("part=2024-007" in f for f in found.inputFiles())

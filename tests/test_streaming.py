@@ -70,7 +70,7 @@ def test_stream_with_a_hot_user_late_clicks_and_compaction(spark, tmp_path):
             late = rng.randrange(2) * DAY
             millis = max(0, batch * DAY // 2 - late) + rng.randrange(DAY // 2)
             data.append((batch, millis, user, str(rng.randrange(3))))
-    pipeline = run(spark, tmp_path, data, threshold=9, window_minutes=24 * 60, compact_every=2)
+    pipeline = run(spark, tmp_path, data, threshold=9, window_minutes=24 * 60, batch_time=lambda: 10 * DAY)
     out, listed = simulate(data, 9)
     assert 0 < len(listed) < 9
     frame = ads.parse_ads_log(batches(spark, data))
@@ -78,7 +78,6 @@ def test_stream_with_a_hot_user_late_clicks_and_compaction(spark, tmp_path):
     assert expected["blacklist"] == sorted(listed.items())
     assert sum(row[3] for row in expected["area_city_ad_counts"]) == len(out)
     assert outputs(spark, pipeline) == expected
-    assert list((tmp_path / "job/state/user_ad/kind=base").iterdir())
 
 
 def test_crossing_batch_counts_and_the_next_is_blocked(spark, tmp_path):
@@ -92,7 +91,7 @@ def test_crossing_batch_counts_and_the_next_is_blocked(spark, tmp_path):
 def second_batch(spark, tmp_path):
     """A pipeline after two batches, and the lines of the second."""
     data = [(0, 0, "u", "1"), (0, 1, "v", "1")] + [(1, 2, "u", "1")] * 3
-    pipeline = run(spark, tmp_path, data, threshold=3, compact_every=1)
+    pipeline = run(spark, tmp_path, data, threshold=3)
     last = batches(spark, data).where("batch_id = 1").select("value")
     return pipeline, last
 
@@ -114,8 +113,8 @@ def test_batch_that_fails_half_way_is_repaired_by_its_repetition(spark, tmp_path
 
     original = getattr(AdsPipeline, step)
 
-    def failing(self, kept, session, batch_id):
-        original(self, kept, session, batch_id)
+    def failing(self, kept, session, batch_id, *more):
+        original(self, kept, session, batch_id, *more)
         if batch_id == 1:
             raise RuntimeError("lost")
 
@@ -132,7 +131,7 @@ def test_malformed_lines_do_not_stop_the_stream(spark, tmp_path):
     pipeline = AdsPipeline(str(tmp_path / "job"))
     lines = spark.createDataFrame([(0, "abc x"), (0, log_line(5, "u", "1"))], "batch_id long, value string")
     replay(spark, lines, pipeline, str(tmp_path / "lines"))
-    assert rows(spark.read.parquet(str(tmp_path / "job/quarantine")), "value") == [("abc x",)]
+    assert rows(spark.read.parquet(str(tmp_path / "job/quarantine")), "value", "reason") == [("abc x", "malformed")]
     assert rows(pipeline.user_ad_counts(spark), "userid", "clicks") == [("u", 1)]
 
 
@@ -151,8 +150,92 @@ def test_retain_days_drops_old_counters(spark, tmp_path):
     assert rows(pipeline.user_ad_counts(spark), "date") == [("1970-01-04",)]
 
 
+NOW = 20_000 * DAY
+
+
+def clicks(times, user="u", day=0, ad="1", start=0):
+    return [(NOW + day * DAY + start + i, user, ad) for i in range(times)]
+
+
+def feed(spark, pipeline, *groups):
+    """One batch for each group of (millis, user, ad)."""
+    for number, group in enumerate(groups):
+        lines = spark.createDataFrame([(log_line(t, u, a),) for t, u, a in group], "value string")
+        pipeline.process(lines, number)
+
+
+def days(spark, pipeline):
+    found = pipeline.result(spark, "area_city_ad_counts").groupBy("date").sum("clicks")
+    return [n for _, n in rows(found)]
+
+
+def test_a_click_far_ahead_expires_nothing(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), threshold=100, retain_days=30, batch_time=lambda: NOW + DAY)
+    feed(spark, pipeline, clicks(90), clicks(1, "x", day=36_500), clicks(20, start=5000))
+    assert rows(pipeline.user_ad_counts(spark), "userid", "clicks") == [("u", 110)]
+    assert rows(pipeline.blacklist(spark)) == [("u", 2)]
+    assert days(spark, pipeline) == [110]
+    assert rows(spark.read.parquet(str(tmp_path / "quarantine")), "reason") == [("future",)]
+
+
+def test_a_late_click_does_not_replace_what_is_published(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), retain_days=1, batch_time=lambda: NOW + 9 * DAY)
+    feed(spark, pipeline, clicks(50), clicks(1, day=3), clicks(1, start=9000))
+    assert days(spark, pipeline) == [50, 1]
+    assert rows(spark.read.parquet(str(tmp_path / "late")), "timestamp") == [(NOW + 9000,)]
+
+
+def test_without_retention_late_clicks_count_for_their_date(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: NOW + 9 * DAY)
+    feed(spark, pipeline, clicks(50), clicks(1, day=3), clicks(1, start=9000))
+    assert days(spark, pipeline) == [51, 1]
+
+
+@pytest.mark.parametrize("minutes", [0, -1, 1441, 2880])
+def test_a_window_is_a_day_at_most(tmp_path, minutes):
+    with pytest.raises(ValueError):
+        AdsPipeline(str(tmp_path), window_minutes=minutes)
+
+
+def test_a_click_ahead_does_not_stop_the_last_hour(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: NOW + DAY)
+    feed(spark, pipeline, clicks(1, day=400, ad="9"), clicks(5))
+    assert rows(pipeline.result(spark, "last_hour")) == [("1", '[{"00:00":5}]')]
+
+
+def test_readers_see_the_last_finished_batch_whole(spark, tmp_path, monkeypatch):
+    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: NOW + DAY)
+    feed(spark, pipeline, clicks(3))
+    before = outputs(spark, pipeline)
+
+    def failing(*_):
+        raise RuntimeError("lost")
+
+    lines = spark.createDataFrame([(log_line(NOW, "v", "2"),)], "value string")
+    with monkeypatch.context() as patch:
+        patch.setattr(AdsPipeline, "_finish", failing)
+        with pytest.raises(RuntimeError, match="lost"):
+            pipeline.process(lines, 1)
+    assert outputs(spark, pipeline) == before
+    pipeline.process(lines, 1)
+    assert days(spark, pipeline) == [4]
+
+
+def test_a_batch_looks_into_no_other_date(spark, tmp_path, monkeypatch):
+    from clickloom.streaming.state import Folder
+
+    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: NOW + 300 * DAY)
+    feed(spark, pipeline, [(NOW + d * DAY, "u", "1") for d in range(200)])
+    listed = []
+    names = Folder.names
+    monkeypatch.setattr(Folder, "names", lambda self, below="": listed.append(below) or names(self, below))
+    pipeline.process(spark.createDataFrame([(log_line(NOW + 199 * DAY, "v", "1"),)], "value string"), 1)
+    dates = {x for x in listed if x.startswith("part=") and len(x) == len("part=2024-01-01")}
+    assert len(dates) == 1
+
+
 def test_running_word_count_over_restarts(spark, tmp_path):
-    pipeline = WordCountPipeline(str(tmp_path / "job"), compact_every=2)
+    pipeline = WordCountPipeline(str(tmp_path / "job"))
     data = [(0, "a  b "), (0, "b"), (1, "c a"), (2, "b"), (3, "")]
     lines = spark.createDataFrame(data, "batch_id long, value string")
     replay(spark, lines, pipeline, str(tmp_path / "lines"))
