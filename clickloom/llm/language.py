@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 96
+ORDINARY = (40, 60_000)
 DICTIONARY_BYTES = 256 * 1024
 SLICE = 4096
 SHORT = 600
@@ -43,13 +44,17 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, size: int = DICTI
     """A dictionary for each ``lang`` of the rows (doc_id, text, lang).
 
     The sample is bounded: the ``sample_rows`` rows with the smallest hash of their id and
-    text, and at most ``size`` bytes of them. The driver gets that and no more.
+    text, those of ordinary length before others, and at most ``size`` bytes of them. The
+    driver gets that and no more.
     """
-    ranked = labelled.where("lang is not null and text is not null and length(text) between 40 and 60000").select(
-        "lang", "text", F.xxhash64("doc_id", "text").alias("pick")
+    ranked = labelled.where("lang is not null and text is not null").select(
+        "lang",
+        "text",
+        (~F.length("text").between(*ORDINARY)).alias("odd"),
+        F.xxhash64("doc_id", "text").alias("pick"),
     )
     best = ranked.selectExpr(
-        "lang", "text", "pick", "row_number() over (partition by lang order by pick, text) as place"
+        "lang", "text", "row_number() over (partition by lang order by odd, pick, text) as place"
     ).where(F.col("place") <= sample_rows)
     found: dict[str, list[bytes]] = {}
     for row in best.orderBy("lang", "place").toLocalIterator():

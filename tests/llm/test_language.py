@@ -52,6 +52,12 @@ def test_nothing_to_learn_from(spark):
     assert {r.c.lang_pred for r in docs.select(op.classify(F.col("text"), dictionaries).alias("c")).collect()} == {"und"}
 
 
+def test_short_rows_teach_where_there_are_no_others(spark):
+    rows = [(i, t, lang) for i in range(9) for t, lang in (("the with", "en"), ("les une", "fr"))]
+    dictionaries = op.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert list(dictionaries) == ["en", "fr"]
+
+
 def test_the_sample_is_bounded_and_the_same_each_time(spark):
     small = op.learn(labelled(spark), sample_rows=2, size=100)
     assert all(len(x) <= 100 for x in small.values())
