@@ -46,7 +46,9 @@ def test_empty_table_and_null_ids(spark):
     assert rows(op.near_duplicates(null), "doc_id", "component_id") == [(2, 2), (3, 2), (None, 2)]
     kept = op.keep_one(null)
     assert kept.columns == docs.columns
-    assert rows(kept, "doc_id") == [(2,), (None,)]
+    assert rows(kept, "doc_id") == [(2,)]
+    unnamed = docs.withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.concat("text", F.lit("!")))
+    assert rows(op.keep_one(unnamed.unionAll(docs.where("false"))), "doc_id") == [(None,)] * 3
 
 
 @pytest.mark.parametrize("block", [2048, 7])
