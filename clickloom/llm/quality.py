@@ -8,8 +8,8 @@ Per language and source, the minimum covariance determinant is sought: from two
 (medians with absolute deviations; plain mean and covariance) repeated concentration steps
 keep the ``COVERAGE`` nearest share of the rows and estimate again; the start with the
 smaller determinant wins. ``FLOOR`` squared is added to the variances, since most texts
-have no symbol at all. Groups below ``MIN_GROUP`` rows are judged by their language, and
-languages below it by all rows. A text is rejected when its squared Mahalanobis distance
+have no symbol at all. Groups with fewer than ``MIN_GROUP`` rows that pass the base rule are
+judged by all such rows of their language, and languages with fewer by all such rows. A text is rejected when its squared Mahalanobis distance
 is over ``CUTOFF`` (about the 0.999999 quantile of chi-square with six degrees), after
 division by the group's median distance over the one expected, if that is above one.
 
@@ -114,15 +114,20 @@ def vector() -> list[Column]:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Adds ``key``: the group whose estimates judge the row."""
-    by_both = rows.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    """Adds ``key``: the group whose estimates judge the row; and ``parts``: the groups, of
+    those that judge any row, whose estimates the row takes part in."""
+    passing = F.count_if(~F.col("base_failed"))
+    by_both = rows.groupBy("lang", "source").agg(passing.alias("n"))
     sizes = by_both.selectExpr("*", "sum(n) over (partition by lang) as of_lang")
     both = F.to_json(F.struct("lang", "source", F.lit(2).alias("level")))
     lang = F.to_json(F.struct("lang", F.lit(1).alias("level")))
     key = F.when(F.col("n") >= MIN_GROUP, both).when(F.col("of_lang") >= MIN_GROUP, lang).otherwise(F.lit("all"))
     # The pair is compared as one text: null joins null.
     pair = F.to_json(F.struct("lang", "source"))
-    keys = store(sizes.select(pair.alias("pair"), key.alias("key")), "groups")
+    keys = store(sizes.select(pair.alias("pair"), key.alias("key"), F.array(both, lang, F.lit("all")).alias("parts")), "groups")
+    used = keys.select(F.col("key").alias("part")).distinct()
+    parts = keys.select("pair", "key", F.explode("parts").alias("part")).join(used, "part")
+    keys = store(parts.groupBy("pair", "key").agg(F.collect_list("part").alias("parts")), "groups")
     return rows.withColumn("pair", pair).join(keys, "pair").drop("pair")
 
 
@@ -205,8 +210,9 @@ def judge(docs: DataFrame) -> DataFrame:
     """One row per text: doc_id, row, the base counts, base_failed, kept, distance."""
     counts = base_counts(docs).withColumn("base_failed", base_failed())
     rows = store(counts.withColumns(dict(zip(X, vector()))), "statistics")
-    rows = store(_grouped(rows).select("doc_id", "row", *ROW_COUNTS, "base_failed", "key", *X), "grouped")
-    groups = store(estimates(rows.where("not base_failed").select("key", *X)), "estimates")
+    rows = store(_grouped(rows).select("doc_id", "row", *ROW_COUNTS, "base_failed", "key", "parts", *X), "grouped")
+    passing = rows.where("not base_failed").select(F.explode("parts").alias("key"), *X)
+    groups = store(estimates(passing), "estimates")
     judged = rows.join(groups, "key", "left").withColumn("distance", distance() / F.col("scale"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
     return judged.select("doc_id", "row", *ROW_COUNTS, "base_failed", kept.alias("kept"), "distance")

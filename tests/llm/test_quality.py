@@ -73,6 +73,22 @@ def test_only_short_texts(spark):
     assert [r.kept for r in got] == [False] * 3
 
 
+def test_junk_in_small_groups_is_judged_by_the_larger_ones(spark):
+    made = np.random.default_rng(4)
+    plain = [" ".join("abcdefghijklmnop"[: made.integers(2, 10)] + str(i * 50 + k) for k in range(40)) for i in range(260)]
+    junk = "#$% &&& *** ||| <<> ### $$$ %%% <>< |&| ##$ %%& *#* $|$ >>>"
+    cases = [("en", "large", x) for x in plain]
+    cases += [("en", "one row", junk), ("xx", "one row", junk), ("en", "good row", plain[7] + " more")]
+    # Many rows, but few that pass the base rule.
+    cases += [("en", "failing", "too short")] * 250 + [("en", "failing", f"{junk} {k}") for k in range(3)]
+    # A language that is large by rows that fail only.
+    cases += [("yy", f"s{k % 2}", "short") for k in range(250)] + [("yy", "s0", junk + " yy")]
+    docs = spark.createDataFrame([(i, *x) for i, x in enumerate(cases)], "doc_id long, lang string, source string, text string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in op.judge(docs).collect()}
+    want = {i: ("short" in x[2], x[2] in plain or x[1] == "good row") for i, x in enumerate(cases)}
+    assert got == want
+
+
 def test_distance_matches_numpy(spark):
     made = np.random.default_rng(1)
     points = made.normal(size=(400, op.P)) @ made.normal(size=(op.P, op.P))
