@@ -168,16 +168,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, block: int = 2048) -> DataFrame:
-    """doc_id, row (its digest), fp and component_id (the smallest doc_id reachable) of every
-    row of ``docs``."""
+    """doc_id, row (its digest), fp, root (the smallest print reachable) and component_id (the
+    smallest doc_id reachable) of every row of ``docs``."""
     prints = fingerprint(F.col("text"), size).alias("fp")
     rows = store(docs.select("doc_id", row_digest().alias("row"), prints), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes.select("fp"), radius, block)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = named.join(ids, "root").select("fp", "component_id")
-    return rows.join(component, "fp").select("doc_id", "row", "fp", "component_id")
+    component = named.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(component, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
@@ -188,9 +188,8 @@ def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
     Rows that are equal in id and text stay or go together.
     """
     found = near_duplicates(docs.select("doc_id", "text"), size, radius)
-    # The component's number is not enough where ids are null: such components go by print.
+    # Components go by their root: unlinked ones may have the same smallest id, or none.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("first")
-    group = F.struct("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("fp"))
-    found = store(found.withColumn("group", group), "components")
-    firsts = found.groupBy("group").agg(first).select("group", F.col("first.row").alias("stays"))
-    return drop_rows(docs, found.join(firsts, "group").where("row <> stays"))
+    found = store(found, "components")
+    firsts = found.groupBy("root").agg(first).select("root", F.col("first.row").alias("stays"))
+    return drop_rows(docs, found.join(firsts, "root").where("row <> stays"))

@@ -51,6 +51,20 @@ def test_empty_table_and_null_ids(spark):
     assert rows(op.keep_one(unnamed.unionAll(docs.where("false"))), "doc_id") == [(None,)] * 3
 
 
+def test_keep_one_goes_by_component_not_by_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(400)) for x in "ab")
+    schema = "doc_id long, text string"
+    # Unlinked texts under one id; b + " end" is linked to b only.
+    shared = [(7, a), (7, b), (9, f"{b} end")]
+    near_b = bin(simhash(b) ^ simhash(f"{b} end")).count("1")
+    assert 0 < near_b <= 4 < bin(simhash(a) ^ simhash(b)).count("1")
+    assert rows(op.keep_one(spark.createDataFrame(shared, schema)), "text") == [(a,), (b,)]
+    # Linked texts without ids: one of the component stays.
+    unnamed = spark.createDataFrame([(None, b), (None, f"{b} end"), (None, a)], schema)
+    left = [t for (t,) in rows(op.keep_one(unnamed), "text")]
+    assert len(left) == 2 and a in left
+
+
 @pytest.mark.parametrize("block", [2048, 7])
 def test_a_large_bucket_in_blocks_gives_the_same_components(spark, block):
     picks = random.Random(3)
