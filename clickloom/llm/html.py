@@ -9,6 +9,13 @@ dropped. Parts that name themselves as something else (tags, roles and class nam
 adverts, forms, comments and the like) do not take part; a page with an ``article`` or
 ``main`` that has text is judged within it.
 
+A form, or a part marked by its names only, may be a wrapper of the article. It takes part
+if it holds most of the page's unlinked text, or the only ``article`` or ``main`` with text
+and more than stands in no marked part. ``ADDED`` is an exception: comments and notices are
+often longer than an article.
+Where nothing unlinked is left, ``ADDED`` is no exception; if that gives nothing
+either, all marks are disregarded.
+
 Each page is read once, in linear time, on its own: no shuffle, and no page meets another.
 
 Defined results: a null, empty or markup-only page gives the empty text. A page that breaks
@@ -53,6 +60,11 @@ PART_NAMES = set(
     "subscription signup login share sharing social related recommended recommendations widget search pagination "
     "pager copyright legal toolbar masthead topbar skip".split()
 )
+# Of these, what may hold more text than the article beside it.
+ADDED = set(
+    "comment comments disqus reply replies respond cookie cookies consent gdpr notice notices notification legal "
+    "related recommended recommendations copyright".split()
+)
 HEADER_NAMES = {"header", "head", "topbar", "masthead"}
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 CONTENT = {"article", "main"}
@@ -65,32 +77,48 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 NAME_PARTS = re.compile(r"[^a-z]+")
+# Names such as has-sidebar and no-comments tell what is in an element, not what it is.
+TELLING = re.compile(r"(?:^|[-_])(?:has|with|no|without)[-_]")
+
 
+# Kinds of elements that are apart; the last two may turn out to be wrappers.
+HARD, MARKED, MARKED_ADDED = 1, 2, 3
 
-def _apart(name: str, more: str, in_content: bool) -> bool:
-    """Whether an element is a part of the page that is not its article."""
-    if name in APART or name == "header" and not in_content:
-        return True
+
+def _apart(name: str, more: str, in_content: bool) -> int:
+    """Whether an element is a part of the page that is not its article: 0 or its kind."""
+    if name in APART and name != "form" or name == "header" and not in_content:
+        return HARD
+    form = MARKED if name == "form" else 0
     if not more or name in ("html", "body") or name in CONTENT and not in_content:
-        return False
+        return form
     values = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(more)}
-    if values.get("role", "").lower() in ROLES or values.get("aria-hidden") == "true":
-        return True
+    role = values.get("role", "").lower()
+    if role in ROLES and role != "form" or values.get("aria-hidden") == "true":
+        return HARD
     if re.search(r"(?:^|\s)hidden(?:\s|=|$)", ATTRIBUTE.sub(lambda m: m[1] if m[1] == "hidden" else " ", more)):
-        return True
+        return HARD
     if "display:none" in values.get("style", "").replace(" ", ""):
-        return True
-    names = set(NAME_PARTS.split(f"{values.get('class', '')} {values.get('id', '')}".lower()))
-    return bool(names & PART_NAMES) or bool(names & HEADER_NAMES) and not in_content
+        return HARD
+    given = f"{values.get('class', '')} {values.get('id', '')}".lower().split()
+    names = {part for x in given if not TELLING.search(x) for part in NAME_PARTS.split(x)}
+    if names & ADDED:
+        return MARKED_ADDED
+    if names & PART_NAMES or names & HEADER_NAMES and not in_content or role == "form":
+        return MARKED
+    return form
 
 
 class Blocks:
-    """The blocks of a page: (path, text, linked characters, inside an article)."""
+    """The blocks of a page: (path, text, linked characters, inside an article, number of the
+    innermost marked part or -1); and the marked parts: (number of the one around, kind)."""
 
     def __init__(self, page: str):
-        self.found: list[tuple[str, str, int, bool]] = []
-        # Open block elements: name, whether it or one around it is apart, whether in content.
-        self.open: list[tuple[str, bool, bool]] = []
+        self.found: list[tuple[str, str, int, bool, int]] = []
+        self.marked: list[tuple[int, int]] = []
+        # Open block elements: name, whether it or one around it is apart for certain, whether
+        # in content, number of the innermost marked part.
+        self.open: list[tuple[str, bool, bool, int]] = []
         self.parts: list[str] = []
         self.linked = 0
         self.in_link = False
@@ -116,7 +144,8 @@ class Blocks:
         content = " ".join(html.unescape("".join(self.parts)).split())
         if content:
             path = "/".join([x[0] for x in self.open])
-            self.found.append((path, content, min(self.linked, len(content)), bool(self.open) and self.open[-1][2]))
+            _, _, in_content, part = self.open[-1] if self.open else ("", False, False, -1)
+            self.found.append((path, content, min(self.linked, len(content)), in_content, part))
         self.parts, self.linked, self.in_link = [], 0, False
 
     def tag(self, name: str, end: str, more: str) -> None:
@@ -135,9 +164,12 @@ class Blocks:
             self.flush()
             self.close_before(name)
             if name not in VOID and not more.rstrip().endswith("/"):
-                above = self.open[-1] if self.open else ("", False, False)
-                apart = above[1] or _apart(name, more, above[2])
-                self.open.append((name, apart, above[2] or name in CONTENT))
+                _, apart, in_content, part = self.open[-1] if self.open else ("", False, False, -1)
+                kind = 0 if apart else _apart(name, more, in_content)
+                if kind in (MARKED, MARKED_ADDED):
+                    self.marked.append((part, kind))
+                    part = len(self.marked) - 1
+                self.open.append((name, apart or kind == HARD, in_content or name in CONTENT, part))
 
     def close_before(self, name: str) -> None:
         """A new block ends an open paragraph; a list item, cell and so on its like."""
@@ -159,7 +191,7 @@ def container(path: str) -> str:
 def path_ratios(blocks) -> dict[str, float]:
     """The fused ratio of each path."""
     sums = defaultdict(lambda: [0, 0, 0, 0])
-    for path, content, linked, _ in blocks:
+    for path, content, linked, *_ in blocks:
         total = sums[path]
         for i, x in enumerate((len(content), len(PUNCTUATION.findall(content)), linked, 1)):
             total[i] += x
@@ -172,14 +204,40 @@ def path_ratios(blocks) -> dict[str, float]:
     return {p: (ratio + smooth[container(p)]) / 2 for p, ratio in own.items()}
 
 
+def taking_part(page: Blocks) -> list[tuple]:
+    """The blocks that are in no marked part, wrappers excepted."""
+    if not page.marked:
+        return page.found
+    # Unlinked characters, and those in content, of each part with the parts in it; the last
+    # place is the page (number -1). A part has a larger number than the one around it.
+    size, inside = ([0] * (len(page.marked) + 1) for _ in range(2))
+    for _, content, linked, in_content, part in page.found:
+        size[part] += len(content) - linked
+        inside[part] += (len(content) - linked) * in_content
+    only, outside = inside[-1] == 0, size[-1]
+    for i in range(len(page.marked) - 1, -1, -1):
+        size[page.marked[i][0]] += size[i]
+        inside[page.marked[i][0]] += inside[i]
+    for kinds in ((MARKED,), (MARKED, MARKED_ADDED)):
+        apart = []
+        for i, (around, kind) in enumerate(page.marked):
+            holds = only and 0 < inside[i] == inside[-1] and size[i] > outside
+            wrapper = kind in kinds and (2 * size[i] > size[-1] or holds)
+            apart.append(around >= 0 and apart[around] or not wrapper)
+        left = [x for x in page.found if x[4] < 0 or not apart[x[4]]]
+        if any(len(content) > linked for _, content, linked, *_ in left):
+            return left
+    return page.found
+
+
 def main_text(page: str | None) -> str:
-    blocks = Blocks(page or "").found
+    blocks = taking_part(Blocks(page or ""))
     if any(x[3] for x in blocks):
         blocks = [x for x in blocks if x[3]]
     ratios = path_ratios(blocks)
     least = KEEP * max(ratios.values(), default=0)
     # A path of links alone is a menu even where nothing better is found.
-    kept = [content for path, content, linked, _ in blocks if ratios[path] >= least and (ratios[path] > 0 or not linked)]
+    kept = [content for path, content, linked, *_ in blocks if ratios[path] >= least and (ratios[path] > 0 or not linked)]
     return " ".join(kept)
 
 

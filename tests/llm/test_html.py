@@ -47,6 +47,27 @@ def test_other_parts_go(part, tag):
     assert op.main_text(page) == f"{TEXT} {TEXT}"
 
 
+WRAPPERS = ["div class=has-sidebar", "section id='content-with-sidebar'", "div class='page no-comments'", "form action=/x"]
+
+
+@pytest.mark.parametrize("wrapper", [*WRAPPERS, "div class=page-header-banner", "div class=social", "div role=form"])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_with_marks_stay(wrapper, tag):
+    ad = PARTS["advert"] + PARTS["menu"] + PARTS["hidden"]
+    page = f"<body><{wrapper}>{ad}<{tag}><p>{TEXT}</p><p>{TEXT}</p></{tag}>{ad}</{wrapper.split()[0]}></body>"
+    assert op.main_text(page) == f"{TEXT} {TEXT}"
+
+
+def test_marked_parts_beside_the_article_go_even_if_longer():
+    for part in ("<div class=comments>", "<section class=related><article>"):
+        for tag in ("article", "div"):
+            page = f"<{tag}><p>{TEXT}</p></{tag}>{part}<p>{TEXT}</p><p>{TEXT}</p><p>{TEXT}</p>"
+            assert op.main_text(page) == TEXT
+    assert op.main_text(f"<div><p>{TEXT}</p></div><div class=widget><article>Teaser, short.</article></div>") == TEXT
+    assert op.main_text(f"<div class='x no-comments'><p>{TEXT}</p></div><p>Stray line, here.</p>").startswith(TEXT)
+    assert op.main_text(f"<div class=legal><div class=ad>Buy, now!</div><p>{TEXT}</p></div>") == TEXT
+
+
 def test_a_menu_without_names_goes_by_its_ratio():
     links = "".join(f"<li><a href=/{i}>Link {i}</a></li>" for i in range(30))
     page = f"<body><div><ul>{links}</ul></div><div><div><h2>Title</h2><p>{TEXT}</p><p>Short.</p></div></div></body>"
