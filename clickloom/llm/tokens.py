@@ -1,13 +1,13 @@
 """Token counts with a digest cache.
 
-A text's key is the digest of its normalised content (runs of spaces and line feeds
-become one space, which changes no count of the tokenizers here) with the digest of the
-tokenizer's file. Counts already stored under that key are joined; of the others, each
+A text's key is the digest of its content with the digest of the tokenizer's file. Where
+the tokenizer takes parts between white space one by one (``Counter.cut``), runs of spaces
+and line feeds become one space first, which changes no count; others see the text as it is. Counts already stored under that key are joined; of the others, each
 different text is encoded once, by the row with the smallest id, and its count appended.
 Only the ids and digests of the misses are shuffled with the texts; a hot text is one
 digest after pre-aggregation.
 
-Within a worker, a text is cut at spaces and line feeds, where no token and no
+Within a worker, a text for such a tokenizer is cut at spaces and line feeds, where no token and no
 normalisation crosses, and the counts of short parts are remembered.
 
 Defined results: null is the empty text with zero tokens and zero bytes. Repeated rows and
@@ -112,7 +112,12 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
     spark = docs.sparkSession
     used = version(tokenizer_path)
     text = F.coalesce("text", F.lit(""))
-    digest = F.sha2(F.btrim(F.regexp_replace(text, "[ \n]+", " ")).cast("binary"), 256)
+    if _counter(tokenizer_path).cut:
+        content = F.btrim(F.regexp_replace(text, "[ \n]+", " "))
+    else:
+        # Counts kept under normalised digests by earlier versions are not taken.
+        content, used = text, f"{used}:raw"
+    digest = F.sha2(content.cast("binary"), 256)
     rid = F.coalesce("doc_id", F.lit(-1)).cast("string")
     keyed = store(
         docs.select("doc_id", rid.alias("rid"), F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("digest")),

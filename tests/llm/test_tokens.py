@@ -84,3 +84,21 @@ def test_other_tokenizers(name):
     else:
         want = len(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
     assert op._counter(path).counts([text]) == [want]
+
+
+def test_white_space_counts_where_the_tokenizer_encodes_it(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["a b", "a  b", "a\nb", "a\n\n\n  b", " a b "]
+    cache = new_shared_dir(spark, "token-cache")
+    encode = Tokenizer.from_file(path).encode
+    want = {i + 1: len(encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    assert len(set(want.values())) > 1
+    for _ in range(2):
+        got = op.count_tokens(documents(spark, texts), path, cache)
+        assert {r.doc_id: r.n_tokens for r in got.collect()} == want
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    got = op.count_tokens(documents(spark, texts), path, cache)
+    assert {r.doc_id: r.n_tokens for r in got.collect()} == {i + 1: len(model.encode(t)) for i, t in enumerate(texts)}
