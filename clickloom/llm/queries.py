@@ -5,7 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import decontaminate, html, language, lines, pieces, pii, quality, simhash, tokens, toxicity
+from clickloom.llm import (
+    codes,
+    decontaminate,
+    html,
+    language,
+    lines,
+    mixing,
+    pieces,
+    pii,
+    quality,
+    resample,
+    simhash,
+    tokens,
+    toxicity,
+)
 from clickloom.llm.common import fold, sha256, ship, table
 from clickloom.session import configure, new_shared_dir
 
@@ -92,3 +106,20 @@ def op9_token_counts(spark, sf_dir):
 def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op11_resampling(spark, sf_dir):
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_mixing(spark, sf_dir):
+    mixed = mixing.curriculum(table(spark, sf_dir, "documents"))
+    first = F.get("occurrences", F.lit(0))["position"].alias("position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", first)
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    return codes.compress(table(spark, sf_dir, "embeddings"))
