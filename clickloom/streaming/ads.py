@@ -1,18 +1,25 @@
-"""The ad-click stream: blacklist, running counts, top ads and last hour in one query.
+"""The ad-click stream: blacklist, running counts, top ads per area and day, last hour.
 
-One query with one ``foreachBatch`` keeps the order of effects within a batch: set aside
-what cannot count, drop the clicks of listed users, count the rest, list the users that
-reached the threshold (effective from the next batch), then publish the results.
+Two queries in step. The first, on the log lines, has one ``foreachBatch`` that keeps the
+order of effects within a batch: set aside what cannot count, let pass the clicks of users
+not listed before this batch, keep the last hour. The second counts what passed
+(``streaming.counters``); the first waits for it, so users that reach the threshold in a
+batch are listed from the next one on. A batch reads and writes what its clicks touch.
 
-Below the root folder, as parquet:
+Below the root folder:
 
-    tables/area_city_ad_counts, top_area_ads, last_hour   results, read by ``result``
-    tables/user_ad, recent, blacklist, clock               what the next batches need
-    quarantine/batch_id=...                                value, reason
-    late/batch_id=...                                      clicks of expired dates
-    finished/<batch>                                       the last batch that is whole
+    batches/<n>                        what batch n goes by: its limit and the clock before it
+    passed/batch=<n>                   the clicks that count, read by the second query
+    checkpoint, counters               the queries' checkpoints; the second one's has the counters
+    tables/blacklist, area_city_ad_counts, top_area_ads, minutes, last_hour     change logs
+    recent/minute=...                  clicks by minute, for the minute at the window's edge
+    quarantine/batch_id=...            value, reason
+    late/batch_id=...                  clicks of expired dates
+    finished/<n>                       the last batch that is whole
 
-A batch replaces the dates it touched and reads no others.
+A batch is settled by its note in ``batches`` before it has any effect, and its clicks pass
+by a rename, once. So a batch that is repeated, whenever and wherever it broke off, does the
+same as it would have done, and one that is finished does nothing.
 
 Clock: the latest click's time. A click later than the time of its batch by more than
 ``ahead_minutes`` is set aside as ``future`` and moves nothing. With ``retain_days`` the
@@ -23,35 +30,24 @@ nothing expires, and a late click counts for its own date.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.functions import event_date
 from clickloom.operators import ads
-from clickloom.operators.joins import lookup
+from clickloom.operators.joins import join_on, lookup, without
 from clickloom.session import configure
-from clickloom.streaming.state import Folder, VersionedTable
-
-# The part of a table that is not kept by date.
-WHOLE = "all"
-TABLES = {
-    "user_ad": "userid string, adid string, clicks long, added long",
-    "area_city_ad_counts": "area string, city string, adid string, clicks long",
-    "top_area_ads": "area string, top_ads string",
-    "recent": "adid string, timestamp long, clicks long",
-    "last_hour": "adid string, minutes string",
-    "blacklist": "userid string, listed_batch long",
-    "clock": "latest long",
-}
-BY_DATE = ("area_city_ad_counts", "top_area_ads")
+from clickloom.streaming.counters import CLICK, USER, Counters
+from clickloom.streaming.state import ChangeLog, Folder
+
+MINUTE = 60_000
 
 
 @dataclass
@@ -64,8 +60,11 @@ class AdsPipeline:
     top_n: int = 3
     retain_days: int | None = None
     ahead_minutes: int = 10
+    # Every so many batches the change logs are brought together.
+    fold_every: int = 200
     # The time of a batch in milliseconds.
     batch_time: Callable[[], int] = lambda: time.time_ns() // 1_000_000
+    _counters: Counters | None = field(default=None, init=False, repr=False)
 
     def __post_init__(self):
         ads.check_window(self.window_minutes)
@@ -74,146 +73,188 @@ class AdsPipeline:
         """Run on a streaming frame with a column ``value``.
 
         Started again with the same root it goes on where it stopped. The default
-        trigger is every 5 seconds; ``availableNow=True`` processes what is there.
+        trigger is every 5 seconds; ``availableNow=True`` processes what is there. The
+        counting query ends with the query returned.
         """
         configure(lines.sparkSession)
         trigger = trigger or {"processingTime": "5 seconds"}
-        return (
+        query = (
             lines.select("value")
             .writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.root}/checkpoint")
             .trigger(**trigger)
             .start()
         )
+        threading.Thread(target=self._close_after, args=(query,), daemon=True).start()
+        return query
 
-    def process(self, lines: DataFrame, batch_id: int) -> None:
-        """Apply one micro-batch. Running the latest batch again changes nothing."""
-        spark = lines.sparkSession
-        lines.persist(StorageLevel.MEMORY_AND_DISK)
-        limit = self.batch_time() + self.ahead_minutes * 60_000
-        before = self._table(spark, "clock").read([WHOLE], batch_id - 1).agg(F.max("latest")).first()[0]
-        expired = self._expired_before(spark, before)
-        logs = ads.with_date(ads.parse_ads_log(lines)).where(F.col("timestamp") <= limit)
-        listed = lookup(self.blacklist(spark, batch_id - 1))
-        kept = logs.where(F.col("date") >= expired).join(listed, "userid", "left_anti")
-        kept = kept.withColumn("hour", ads.event_hour(F.col("timestamp"))).persist(StorageLevel.MEMORY_AND_DISK)
+    def _close_after(self, query: StreamingQuery) -> None:
         try:
-            self._set_aside(lines, logs.where(F.col("date") < expired), limit, batch_id)
-            seen = kept.agg(F.max("timestamp").alias("latest"), F.collect_set("date").alias("dates")).first()
-            latest = max((x for x in (before, seen.latest) if x is not None), default=None)
-            if seen.dates:
-                # Outputs of the same clicks that do not read each other's results. Their
-                # jobs belong to the query's job group, so that stopping it stops them.
-                steps = [
-                    lambda: self._update_blacklist(kept, spark, batch_id, seen.dates),
-                    lambda: self._update_counts(kept, spark, batch_id, seen.dates),
-                    lambda: self._update_last_hour(kept, spark, batch_id, latest),
-                ]
-                with ThreadPoolExecutor(len(steps)) as pool:
-                    outputs = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
-                for output in outputs:
-                    output.result()
-                clock = spark.createDataFrame([(latest, WHOLE)], "latest long, part string")
-                self._table(spark, "clock").write(clock, batch_id)
-            self._finish(spark, batch_id, seen.dates, latest)
+            query.awaitTermination()
+        except Exception:  # the caller gets it from the query itself
+            pass
         finally:
-            kept.unpersist()
-            lines.unpersist()
+            self.close()
+
+    def close(self) -> None:
+        """Stop the counting query; the next batch starts it again."""
+        counters, self._counters = self._counters, None
+        if counters is not None:
+            counters.stop()
+
+    def process(self, lines: DataFrame, batch_id: int) -> None:
+        """Apply one micro-batch. Running it again changes nothing."""
+        spark = lines.sparkSession
+        if self._finished(spark)["batch"] >= batch_id:
+            return
+        note = self._settle(spark, batch_id)
+        passed = Folder(spark, f"{self.root}/passed")
+        if not passed.exists(f"batch={batch_id}"):
+            self._let_pass(lines, note, batch_id)
+        clicks = spark.read.schema(CLICK).parquet(f"{passed.path}/batch={batch_id}")
+        latest = max((x for x in (note["latest"], clicks.agg(F.max("timestamp")).first()[0]) if x is not None), default=None)
+        if latest is not None:
+            self._update_last_hour(clicks, spark, batch_id, latest)
+        self._counting(spark).catch_up()
+        self._finish(spark, batch_id, latest)
 
     def blacklist(self, spark: SparkSession, last: int | None = None) -> DataFrame:
         """Listed users and the batch that listed them, up to batch ``last``."""
-        last = self._finished(spark) if last is None else last
-        return self._table(spark, "blacklist").read([WHOLE], last).select("userid", "listed_batch")
+        last = self._finished(spark)["batch"] if last is None else last
+        return self._tables(spark).blacklist.read(last)
 
     def user_ad_counts(self, spark: SparkSession) -> DataFrame:
-        """Counted clicks per date, user and ad."""
-        return self._all(spark, "user_ad").select(F.col("part").alias("date"), "userid", "adid", "clicks")
+        """Counted clicks per date, user and ad, from the state of the last finished batch."""
+        last = self._finished(spark)["counters"]
+        if last < 0:
+            return spark.createDataFrame([], "date string, userid string, adid string, clicks long")
+        users = self._tables(spark).state(last).where(F.col("kind") == USER)
+        return users.select("date", F.col("first").alias("userid"), "adid", "clicks")
 
     def result(self, spark: SparkSession, name: str) -> DataFrame:
-        """A result as of the last finished batch."""
-        names = T.StructType.fromDDL(TABLES[name]).names
-        date = [F.col("part").alias("date")] if name in BY_DATE else []
-        return self._all(spark, name).select(*names, *date)
+        """``area_city_ad_counts``, ``top_area_ads`` or ``last_hour`` as of the last finished batch."""
+        last, tables = self._finished(spark)["batch"], self._tables(spark)
+        if name == "area_city_ad_counts":
+            return tables.city_ads.read(last).select("area", "city", "adid", "clicks", "date")
+        if name == "top_area_ads":
+            top = tables.leaders.read(last).select("date", "area", F.inline("top"))
+            return ads.top_area_ads_json(top).select("area", "top_ads", "date")
+        if name == "last_hour":
+            return self._last_hour(spark).read(last)
+        raise ValueError(f"no result {name!r}")
+
+    def _tables(self, spark: SparkSession) -> Counters:
+        return Counters(spark, self.root, self.threshold, self.top_n, self.retain_days)
+
+    def _counting(self, spark: SparkSession) -> Counters:
+        if self._counters is None:
+            self._counters = self._tables(spark)
+        return self._counters
+
+    def _minutes(self, spark: SparkSession) -> ChangeLog:
+        return ChangeLog(spark, f"{self.root}/tables/minutes", "minute long, adid string, clicks long", ["minute", "adid"])
 
-    def _table(self, spark: SparkSession, name: str) -> VersionedTable:
-        return VersionedTable(spark, f"{self.root}/tables/{name}", T.StructType.fromDDL(TABLES[name]))
+    def _last_hour(self, spark: SparkSession) -> ChangeLog:
+        return ChangeLog(spark, f"{self.root}/tables/last_hour", "adid string, minutes string", [])
 
-    def _all(self, spark: SparkSession, name: str) -> DataFrame:
-        table = self._table(spark, name)
-        return table.read(table.parts(), self._finished(spark))
+    def _finished(self, spark: SparkSession) -> dict:
+        """The last finished batch, the clock after it and the state that belongs to it."""
+        folder = Folder(spark, f"{self.root}/finished")
+        last = max(folder.numbers(), default=-1)
+        return {"batch": last, **(folder.noted(str(last)) if last >= 0 else {"latest": None, "counters": -1})}
 
-    def _finished(self, spark: SparkSession) -> int:
-        return max((int(x) for x in Folder(spark, f"{self.root}/finished").names() if x.isdigit()), default=-1)
+    def _settle(self, spark: SparkSession, batch_id: int) -> dict:
+        """Note what the batch goes by, or read what an earlier attempt noted."""
+        folder = Folder(spark, f"{self.root}/batches")
+        if not folder.exists(str(batch_id)):
+            limit = self.batch_time() + self.ahead_minutes * MINUTE
+            folder.note(str(batch_id), {"limit": limit, "latest": self._finished(spark)["latest"]})
+        return folder.noted(str(batch_id))
 
-    def _expired_before(self, spark: SparkSession, latest: int | None) -> str:
+    def _expired_before(self, latest: int | None) -> str:
         """The first date that counts."""
         if self.retain_days is None or latest is None:
             return ""
-        date = F.date_sub(event_date(F.lit(latest)).cast("date"), self.retain_days).cast("string")
-        return spark.range(1).select(date).first()[0]
-
-    def _update_blacklist(self, kept: DataFrame, spark: SparkSession, batch_id: int, dates: list[str]) -> None:
-        counters = self._table(spark, "user_ad")
-        added = kept.select(F.col("date").alias("part"), "userid", "adid", F.lit(1).alias("clicks"), F.lit(1).alias("added"))
-        known = counters.read(dates, batch_id - 1).withColumn("added", F.lit(0))
-        both = known.unionByName(added).groupBy("part", "userid", "adid")
-        counters.write(both.agg(F.sum("clicks").alias("clicks"), F.sum("added").alias("added")), batch_id)
-        # A counter is new at the threshold only in a batch that added to it.
-        reached = counters.read(dates, batch_id).where((F.col("clicks") >= self.threshold) & (F.col("added") > 0))
-        listed = reached.select("userid").distinct().withColumn("listed_batch", F.lit(batch_id).cast("long"))
-        if not listed.isEmpty():
-            every = self.blacklist(spark, batch_id - 1).unionByName(listed)
-            self._table(spark, "blacklist").write(every.withColumn("part", F.lit(WHOLE)), batch_id)
-
-    def _update_counts(self, kept: DataFrame, spark: SparkSession, batch_id: int, dates: list[str]) -> None:
-        table = self._table(spark, "area_city_ad_counts")
-        added = kept.select(F.col("date").alias("part"), "area", "city", "adid", F.lit(1).alias("clicks"))
-        both = table.read(dates, batch_id - 1).unionByName(added).groupBy("part", "area", "city", "adid")
-        table.write(both.agg(F.sum("clicks").alias("clicks")), batch_id)
-        counts = ads.area_ad_counts(table.read(dates, batch_id).withColumnRenamed("part", "date"))
-        top = ads.top_area_ads_json(ads.top_area_ads(counts, self.top_n))
-        self._table(spark, "top_area_ads").write(top.withColumnRenamed("date", "part"), batch_id)
-
-    def _update_last_hour(self, kept: DataFrame, spark: SparkSession, batch_id: int, latest: int) -> None:
+        try:
+            return str((datetime(1970, 1, 1) + timedelta(milliseconds=latest, days=-self.retain_days)).date())
+        except OverflowError:  # before the year 1
+            return ""
+
+    def _let_pass(self, lines: DataFrame, note: dict, batch_id: int) -> None:
+        """Set aside what cannot count and write the other clicks for the second query."""
+        spark, limit, expired = lines.sparkSession, note["limit"], self._expired_before(note["latest"])
+        lines = lines.select("value").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            malformed, future = ads.malformed_ads_log(lines), ads.later_than(lines, limit)
+            logs = ads.with_date(ads.parse_ads_log(lines)).where(F.col("timestamp") <= limit)
+            aside = malformed.select("value", F.lit("malformed").alias("reason")).unionAll(
+                future.select("value", F.lit("future").alias("reason"))
+            )
+            for name, rows in (("quarantine", aside), ("late", logs.where(F.col("date") < expired))):
+                if not rows.isEmpty():
+                    rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+            tables = self._tables(spark)
+            listed = tables.blacklist.read(batch_id - 1).select("userid")
+            kept = without(logs.where(F.col("date") >= expired), listed, "userid", tables.listed_bits.read(batch_id - 1))
+            staged = f"{self.root}/staged/batch={batch_id}"
+            kept.selectExpr(*[f"`{c.split()[0]}`" for c in CLICK.split(", ")]).write.mode("overwrite").parquet(staged)
+            Folder(spark, f"{self.root}/passed").move_in(staged, f"batch={batch_id}")
+        finally:
+            lines.unpersist()
+
+    def _update_last_hour(self, clicks: DataFrame, spark: SparkSession, batch_id: int, latest: int) -> None:
         """Clicks later than the window before the latest click.
 
-        Kept by hour with counts per ad and millisecond, so the edge of the window is exact;
-        hours before the edge are not opened again.
+        Minutes are summed per ad. Only the minute that the window's edge cuts needs its
+        clicks' own times: these are kept by minute, and one minute of them is read.
         """
-        recent = self._table(spark, "recent")
-        edge = latest - self.window_minutes * 60_000
-        inside = kept.where(F.col("timestamp") > edge)
-        first = spark.range(1).select(ads.event_hour(F.lit(edge))).first()[0]
-        hours = [row[0] for row in inside.select("hour").distinct().collect()]  # at most 25
-        added = inside.select(F.col("hour").alias("part"), "adid", "timestamp", F.lit(1).alias("clicks"))
-        both = recent.read(hours, batch_id - 1).unionByName(added).groupBy("part", "adid", "timestamp")
-        if hours:
-            recent.write(both.agg(F.sum("clicks").alias("clicks")), batch_id)
-        window = recent.read([x for x in recent.parts() if x >= first], batch_id).where(F.col("timestamp") > edge)
-        minutes = ads.ad_minutes_json(ads.ad_minute_counts(window, F.sum("clicks")))
-        self._table(spark, "last_hour").write(minutes.withColumn("part", F.lit(WHOLE)), batch_id)
-
-    def _set_aside(self, lines: DataFrame, late: DataFrame, limit: int, batch_id: int) -> None:
-        malformed = ads.malformed_ads_log(lines).select("value", F.lit("malformed").alias("reason"))
-        future = ads.later_than(lines, limit).select("value", F.lit("future").alias("reason"))
-        for name, rows in (("quarantine", malformed.unionAll(future)), ("late", late)):
-            if not rows.isEmpty():
-                rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
-
-    def _finish(self, spark: SparkSession, batch_id: int, dates: list[str], latest: int | None) -> None:
+        edge = latest - self.window_minutes * MINUTE
+        first = edge - edge % MINUTE
+        start = (F.col("timestamp") - F.pmod("timestamp", F.lit(MINUTE))).alias("minute")
+        inside = clicks.where(F.col("timestamp") > edge)
+        times = inside.groupBy(start, "adid", "timestamp").agg(F.count("*").alias("clicks"))
+        times = times.withColumn("batch", F.lit(batch_id)).hint("rebalance", "minute")
+        writer = times.write.mode("overwrite").partitionBy("minute", "batch")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/recent")
+
+        minutes = self._minutes(spark)
+        added = inside.groupBy(start, "adid").agg(F.count("*").alias("added"))
+        known = lookup(minutes.read(batch_id - 1, F.col("minute") >= first))
+        total = F.col("added") + F.coalesce("clicks", F.lit(0))
+        minutes.write(join_on(added, known, ["minute", "adid"], "left").withColumn("clicks", total), batch_id)
+
+        whole = minutes.read(batch_id, F.col("minute") > first).withColumnRenamed("minute", "timestamp")
+        window = whole.select("adid", "timestamp", "clicks").unionAll(self._edge_minute(spark, first, edge, batch_id))
+        counts = ads.ad_minute_counts(window, F.sum("clicks"))
+        self._last_hour(spark).write(ads.ad_minutes_json(counts), batch_id)
+
+    def _edge_minute(self, spark: SparkSession, minute: int, edge: int, batch_id: int) -> DataFrame:
+        """Clicks (adid, timestamp, clicks) of the minute at the edge that are after it."""
+        folder, schema = Folder(spark, f"{self.root}/recent"), "adid string, timestamp long, clicks long, batch long"
+        if not folder.exists(f"minute={minute}"):
+            return spark.createDataFrame([], "adid string, timestamp long, clicks long")
+        rows = spark.read.schema(schema).parquet(f"{folder.path}/minute={minute}")
+        rows = rows.where((F.col("timestamp") > edge) & (F.col("batch") <= batch_id))
+        return rows.select("adid", "timestamp", "clicks")
+
+    def _finish(self, spark: SparkSession, batch_id: int, latest: int | None) -> None:
         """From here on readers see the batch; then what it replaced may go."""
+        tables = self._counting(spark)
         finished = Folder(spark, f"{self.root}/finished")
-        finished.mark(str(batch_id))
-        for name in finished.names():
-            if name.isdigit() and int(name) < batch_id:
-                finished.delete(name)
-        for name in TABLES:
-            table = self._table(spark, name)
-            table.prune(table.parts() if name == "recent" else [WHOLE] if name not in (*BY_DATE, "user_ad") else dates)
-        if latest is not None:
-            edge = latest - self.window_minutes * 60_000
-            hour = spark.range(1).select(ads.event_hour(F.lit(edge))).first()[0]
-            self._table(spark, "recent").drop(hour)
-            expired = self._expired_before(spark, latest)
-            if expired:
-                self._table(spark, "user_ad").drop(expired)
+        finished.note(str(batch_id), {"latest": latest, "counters": tables.last_state()})
+        for name, prefix in (("finished", ""), ("batches", ""), ("passed", "batch=")):
+            folder = Folder(spark, f"{self.root}/{name}")
+            for number in folder.numbers(prefix):
+                if number < batch_id:
+                    folder.delete(f"{prefix}{number}")
+        edge = None if latest is None else latest - self.window_minutes * MINUTE
+        if edge is not None:
+            recent = Folder(spark, f"{self.root}/recent")
+            for name in recent.names():
+                if name.startswith("minute=") and int(name.removeprefix("minute=")) < edge - edge % MINUTE:
+                    recent.delete(name)
+        if (batch_id + 1) % self.fold_every == 0:
+            for log in tables.logs:
+                log.fold(batch_id)
+            self._last_hour(spark).fold(batch_id)
+            self._minutes(spark).fold(batch_id, None if edge is None else F.col("minute") >= edge - edge % MINUTE)

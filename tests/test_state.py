@@ -1,74 +1,79 @@
 import pytest
 from helpers import rows
-from pyspark.sql import types as T
 
-from clickloom.streaming.state import KEPT_VERSIONS, VersionedTable
+from clickloom.streaming.state import ChangeLog, Folder
 
-SCHEMA = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType())])
 
-
-def table(spark, path):
-    return VersionedTable(spark, str(path), SCHEMA)
+def log(spark, path, keys=("k",)):
+    return ChangeLog(spark, str(path), "k string, n long", keys)
 
 
 def frame(spark, data):
-    return spark.createDataFrame(data, "part string, k string, n long")
+    return spark.createDataFrame(data, "k string, n long")
 
 
-def current(t, parts=None, last=10**9):
-    return rows(t.read(t.parts() if parts is None else parts, last), "part", "k", "n")
+def test_empty(spark, tmp_path):
+    t = log(spark, tmp_path / "t")
+    assert rows(t.read(5)) == []
+    t.write(frame(spark, []), 0)
+    assert rows(t.read(0)) == []
 
 
-def test_empty(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
-    assert t.parts() == [] and current(t) == [] and current(t, ["p"]) == []
+def test_the_newest_row_of_a_key_counts(spark, tmp_path):
+    t = log(spark, tmp_path / "t")
+    t.write(frame(spark, [("a", 1), ("b", 2)]), 0)
+    t.write(frame(spark, [("a", 5)]), 3)
+    assert rows(t.read(3)) == [("a", 5), ("b", 2)]
+    assert rows(t.read(2)) == [("a", 1), ("b", 2)]
+    assert rows(t.read(-1)) == []
+    assert spark.read.parquet(str(tmp_path / "t/batch-3")).count() == 1
 
 
-def test_a_batch_replaces_its_parts_and_leaves_the_others(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
-    t.write(frame(spark, [("p", "a", 1), ("p", "b", 2), ("q", "a", 3)]), 0)
-    t.write(frame(spark, [("p", "a", 5)]), 1)
-    assert current(t) == [("p", "a", 5), ("q", "a", 3)]
-    assert current(t, last=0) == [("p", "a", 1), ("p", "b", 2), ("q", "a", 3)]
-    assert current(t, ["q"]) == [("q", "a", 3)]
-    assert current(t, last=-1) == []
+def test_without_keys_the_newest_batch_counts(spark, tmp_path):
+    t = log(spark, tmp_path / "t", ())
+    t.write(frame(spark, [("a", 1), ("b", 2)]), 0)
+    t.write(frame(spark, [("c", 5)]), 1)
+    assert rows(t.read(1)) == [("c", 5)]
+    t.fold(1)
+    assert rows(t.read(1)) == [("c", 5)]
 
 
-def test_a_repeated_batch_replaces_its_own_version(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
+def test_a_repeated_batch_replaces_what_it_wrote(spark, tmp_path):
+    t = log(spark, tmp_path / "t")
     for n in (1, 7):
-        t.write(frame(spark, [("p", "a", n)]), 0)
-    assert current(t) == [("p", "a", 7)] and t.versions("p") == [0]
+        t.write(frame(spark, [("a", n)]), 0)
+    assert rows(t.read(0)) == [("a", 7)]
 
 
-def test_old_versions_and_parts_go(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
+def test_folding_keeps_what_counts_and_one_generation(spark, tmp_path):
+    t = log(spark, tmp_path / "t")
     for batch in range(6):
-        t.write(frame(spark, [("2024-01-01", "a", batch)]), batch)
-    t.prune(["2024-01-01", "none"])
-    assert t.versions("2024-01-01") == [3, 4, 5] and KEPT_VERSIONS == 3
-    t.write(frame(spark, [("2024-01-02", "a", 1)]), 6)
-    t.drop("2024-01-02")
-    assert current(t) == [("2024-01-02", "a", 1)]
-
-
-def test_a_write_that_fails_leaves_the_old_version(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
-    t.write(frame(spark, [("p", "a", 1)]), 0)
-    broken = frame(spark, [("p", "a", 2), ("q", "b", 3)]).selectExpr(
-        "part", "k", "if(k = 'b', cast(raise_error('lost') as long), n) as n"
-    )
+        t.write(frame(spark, [("a", batch), (f"k{batch}", batch)]), batch)
+        if batch % 2:
+            before = rows(t.read(batch))
+            t.fold(batch)
+            t.fold(batch)
+            assert rows(t.read(batch)) == before
+    names = sorted(Folder(spark, str(tmp_path / "t")).names())
+    assert names == ["base-3", "base-5", "batch-4", "batch-5"]
+    assert rows(t.read(4)) == sorted([("a", 4)] + [(f"k{i}", i) for i in range(5)])
+    t.write(frame(spark, [("a", 9)]), 6)
+    t.fold(6, "k <> 'k0'")
+    assert ("a", 9) in rows(t.read(6)) and ("k0", 0) not in rows(t.read(6))
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, tmp_path):
+    t = log(spark, tmp_path / "t")
+    t.write(frame(spark, [("a", 1)]), 0)
     with pytest.raises(Exception, match="lost"):
-        t.write(broken, 1)
-    assert current(t) == [("p", "a", 1)]
-
-
-def test_opens_only_the_folders_of_the_wanted_parts(spark, tmp_path):
-    t = table(spark, tmp_path / "t")
-    t.write(frame(spark, [(f"2024-{d:03d}", "a", d) for d in range(200)]), 0)
-    listed = []
-    names = t.folder.names
-    t.folder.names = lambda below="": listed.append(below) or names(below)
-    found = t.read(["2024-007"], 5)
-    assert rows(found, "n") == [(7,)] and listed == ["part=2024-007"]
-    assert all("part=2024-007" in f for f in found.inputFiles())
+        t.write(frame(spark, [("a", 2)]).selectExpr("k", "cast(raise_error('lost') as long) as n"), 1)
+    assert rows(t.read(0)) == [("a", 1)]
+
+
+def test_notes_are_whole(spark, tmp_path):
+    folder = Folder(spark, str(tmp_path / "n"))
+    assert folder.numbers() == [] and not folder.exists("1")
+    folder.note("1", {"a": None, "b": 2**40})
+    folder.note("1", {"a": None, "b": 3})
+    folder.note("12", {})
+    assert folder.noted("1") == {"a": None, "b": 3} and folder.numbers() == [1, 12]

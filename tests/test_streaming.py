@@ -10,7 +10,9 @@ from clickloom.operators import ads
 from clickloom.sources import testdata as td
 from clickloom.sources.streams import text_lines
 from clickloom.streaming.ads import AdsPipeline
+from clickloom.streaming.counters import Counters
 from clickloom.streaming.replay import replay
+from clickloom.streaming.state import Folder
 from clickloom.streaming.words import WordCountPipeline
 
 
@@ -19,6 +21,22 @@ def batches(spark, data):
     return spark.createDataFrame([(b, log_line(t, u, a)) for b, t, u, a in data], "batch_id long, value string")
 
 
+@pytest.fixture(autouse=True)
+def closed():
+    """No counting query outlives its test."""
+    made, original = [], AdsPipeline.__post_init__
+
+    def remember(self):
+        original(self)
+        made.append(self)
+
+    AdsPipeline.__post_init__ = remember
+    yield
+    AdsPipeline.__post_init__ = original
+    for pipeline in made:
+        pipeline.close()
+
+
 def run(spark, tmp_path, data, **settings):
     pipeline = AdsPipeline(str(tmp_path / "job"), **settings)
     replay(spark, batches(spark, data), pipeline, str(tmp_path / "lines"))
@@ -106,25 +124,109 @@ def test_repeated_batch_changes_nothing(spark, second_batch):
     assert before["blacklist"] == [("u", 1)]
 
 
-@pytest.mark.parametrize("step", ["_update_blacklist", "_update_last_hour"])
-def test_batch_that_fails_half_way_is_repaired_by_its_repetition(spark, tmp_path, monkeypatch, step):
-    data = [(0, 0, "u", "1"), (0, 1, "v", "1")] + [(1, 2, "u", "1")] * 3
-    whole = outputs(spark, run(spark, tmp_path / "a", data, threshold=3))
-
-    original = getattr(AdsPipeline, step)
-
-    def failing(self, kept, session, batch_id, *more):
-        original(self, kept, session, batch_id, *more)
-        if batch_id == 1:
-            raise RuntimeError("lost")
+@pytest.mark.parametrize("step", ["_settle", "_let_pass", "_update_last_hour", "_finish", "catch_up", "publish"])
+@pytest.mark.parametrize("after", [False, True])
+def test_batch_that_fails_half_way_is_repaired_by_its_repetition(spark, tmp_path, monkeypatch, step, after):
+    now, data = {"ms": 1000}, [(0, 0, "u", "1"), (0, 1, "v", "1")] + [(1, 2, "u", "1")] * 3 + [(1, 7_200_000, "w", "1")]
+    pipeline = AdsPipeline(str(tmp_path / "job"), threshold=3, batch_time=lambda: now["ms"])
+    first, second = ([(t, u, a) for b, t, u, a in data if b == n] for n in (0, 1))
+    feed(spark, pipeline, first)
+    pipeline.close()
+    owner = Counters if step in ("catch_up", "publish") else AdsPipeline
+    original = getattr(owner, step)
+
+    def failing(self, *more):
+        if after:
+            original(self, *more)
+        raise RuntimeError("lost")
 
+    lines = spark.createDataFrame([(log_line(t, u, a),) for t, u, a in second], "value string")
     with monkeypatch.context() as patch:
-        patch.setattr(AdsPipeline, step, failing)
+        patch.setattr(owner, step, failing)
         with pytest.raises(Exception, match="lost"):
-            run(spark, tmp_path / "b", data, threshold=3)
-    pipeline = AdsPipeline(str(tmp_path / "b/job"), threshold=3)
-    pipeline.start(text_lines(spark, str(tmp_path / "b/lines")), availableNow=True).awaitTermination()
-    assert outputs(spark, pipeline) == whole
+            pipeline.process(lines, 1)
+    # What the batch goes by was noted: a later clock does not let the future click pass.
+    settled = not (step == "_settle" and not after)
+    now["ms"] += 8_000_000 if settled else 0
+    pipeline.close()
+    again = AdsPipeline(str(tmp_path / "job"), threshold=3, batch_time=lambda: now["ms"])
+    again.process(lines, 1)
+    assert rows(again.user_ad_counts(spark), "userid", "clicks") == [("u", 4), ("v", 1)]
+    assert rows(again.blacklist(spark)) == [("u", 1)]
+    assert rows(again.result(spark, "last_hour")) == [("1", '[{"00:00":5}]')]
+    assert rows(spark.read.parquet(str(tmp_path / "job/quarantine")), "reason") == [("future",)]
+
+
+def test_a_batch_repeated_under_a_later_clock_changes_nothing(spark, tmp_path):
+    now = {"ms": NOW}
+    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: now["ms"])
+    lines = spark.createDataFrame(
+        [(log_line(t, "u", "1"),) for t in [NOW - i for i in range(5)] + [NOW + 3_600_000]], "value string"
+    )
+    pipeline.process(lines, 0)
+    before = outputs(spark, pipeline)
+    now["ms"] += 3_600_000
+    pipeline.process(lines, 0)
+    assert outputs(spark, pipeline) == before and sum(row[3] for row in before["user_ad"]) == 5
+
+
+def test_a_batch_writes_the_rows_it_touched(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), threshold=10**6, batch_time=lambda: NOW + 400 * DAY)
+    # Many counters on one date, and one more on each of many dates.
+    many = spark.range(20_000).selectExpr(f"concat({NOW}, ' a', id % 50, ' c u', id, ' ', id % 7) as value")
+    days = spark.range(300).selectExpr(f"concat({NOW} + id * {DAY}, ' a0 c u ', 1) as value")
+    pipeline.process(many.unionAll(days), 0)
+    listed = []
+    names = Folder.names
+    Folder.names = lambda self, below="": listed.append(below) or names(self, below)
+    try:
+        clicks = [log_line(NOW + 299 * DAY + i, f"x{i % 40}", "9", area="a3") for i in range(200)]
+        pipeline.process(spark.createDataFrame([(x,) for x in clicks], "value string"), 1)
+    finally:
+        Folder.names = names
+    # No folder per date is listed, and every table got the keys of 200 clicks only.
+    assert not [x for x in listed if "20" in x]
+    written = {
+        name: spark.read.parquet(f"{tmp_path}/tables/{name}/batch-1").count()
+        for name in ("area_city_ad_counts", "top_area_ads", "minutes", "blacklist")
+    }
+    assert written == {"area_city_ad_counts": 1, "top_area_ads": 1, "minutes": 1, "blacklist": 0}
+    users = pipeline.user_ad_counts(spark)
+    assert users.count() == 20_000 + 300 + 40
+    assert users.where("userid like 'x%'").agg({"clicks": "sum"}).first()[0] == 200
+
+
+def test_leaders_follow_their_counters(spark, tmp_path):
+    """Top ads ranked again from old leaders and changes equal those ranked from all counters."""
+    rng = random.Random(3)
+    data = [(b, NOW + rng.randrange(3) * DAY, f"u{i}", str(rng.randrange(12))) for b in range(4) for i in range(30)]
+    pipeline = run(spark, tmp_path, data, threshold=10**6, batch_time=lambda: NOW + 9 * DAY, fold_every=2)
+    counts = ads.area_ad_counts(ads.area_city_ad_counts(ads.parse_ads_log(batches(spark, data))))
+    expected = ads.top_area_ads_json(ads.top_area_ads(counts))
+    assert rows(pipeline.result(spark, "top_area_ads")) == rows(expected, "area", "top_ads", "date")
+
+
+def test_folding_changes_no_result(spark, tmp_path):
+    data = [(b, b * 1_000_000 + i, f"u{i % 3}", str(i % 2)) for b in range(7) for i in range(b + 2)]
+    plain = outputs(spark, run(spark, tmp_path / "a", data, threshold=6))
+    folded = run(spark, tmp_path / "b", data, threshold=6, fold_every=2)
+    assert outputs(spark, folded) == plain
+    names = Folder(spark, str(tmp_path / "b/job/tables/minutes")).names()
+    assert sorted(n for n in names if n.startswith("base")) == ["base-3", "base-5"]
+
+
+def test_many_listed_users_are_met_behind_a_bitmap(spark, tmp_path):
+    pipeline = AdsPipeline(str(tmp_path), threshold=2, batch_time=lambda: NOW + DAY)
+    users = spark.range(2000).selectExpr(f"explode(array(id, id)) as u").selectExpr(f"concat({NOW}, ' N c u', u, ' 1') as value")
+    pipeline.process(users, 0)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        pipeline.process(users.unionAll(spark.createDataFrame([(log_line(NOW, "new", "1"),)], "value string")), 1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert pipeline.blacklist(spark).count() == 2000
+    assert rows(pipeline.result(spark, "area_city_ad_counts"), "clicks") == [(4001,)]
 
 
 def test_malformed_lines_do_not_stop_the_stream(spark, tmp_path):
@@ -221,19 +323,6 @@ def test_readers_see_the_last_finished_batch_whole(spark, tmp_path, monkeypatch)
     assert days(spark, pipeline) == [4]
 
 
-def test_a_batch_looks_into_no_other_date(spark, tmp_path, monkeypatch):
-    from clickloom.streaming.state import Folder
-
-    pipeline = AdsPipeline(str(tmp_path), batch_time=lambda: NOW + 300 * DAY)
-    feed(spark, pipeline, [(NOW + d * DAY, "u", "1") for d in range(200)])
-    listed = []
-    names = Folder.names
-    monkeypatch.setattr(Folder, "names", lambda self, below="": listed.append(below) or names(self, below))
-    pipeline.process(spark.createDataFrame([(log_line(NOW + 199 * DAY, "v", "1"),)], "value string"), 1)
-    dates = {x for x in listed if x.startswith("part=") and len(x) == len("part=2024-01-01")}
-    assert len(dates) == 1
-
-
 def test_running_word_count_over_restarts(spark, tmp_path):
     pipeline = WordCountPipeline(str(tmp_path / "job"))
     data = [(0, "a  b "), (0, "b"), (1, "c a"), (2, "b"), (3, "")]
