@@ -7,12 +7,12 @@ to the end of its last, and the CRC-32 of its bytes names its bucket. As the byt
 two ends are a space and a word, a window's CRC goes on from that of the window one word
 shorter.
 
-First pass: every task adds up the buckets of its rows and hands on one row per bucket, for
+The text is read once, and not shuffled: the buckets of its features, two bytes each, are
+written out. Every task adds up the buckets of its rows and hands on one row per bucket, for
 the raw texts and for the target texts. From these come ``buckets`` gains, integers, which
-are all that goes back to the tasks. Second pass: the gains of a text's features are summed.
-A score is the weight with Gumbel noise from the id's digest, so that the highest scores are
-a sample without replacement; ranks come from sorted ranges, no task sorts them all. The
-text is read twice and never shuffled.
+are all that goes back to the tasks; there the gains of a text's features are summed. A
+score is the weight with Gumbel noise from the id's digest, so that the highest scores are a
+sample without replacement; ranks come from sorted ranges, no task sorts them all.
 
 Defined results: a null text, and one without words, has no features and weight 0. A null id
 takes part with the digest of ``42:``. Repeated rows are drawn one by one; rows of one score
@@ -39,7 +39,6 @@ RUN = 3
 SEED = 42
 #: What is between words; the words are all the rest.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 @cache
@@ -52,45 +51,67 @@ def _splitter():
 
 def words_with_offsets(text: str | None) -> list[tuple[str, tuple[int, int]]]:
     """The words of a text, A-Z lowered, with their offsets in code points."""
-    return _splitter().pre_tokenize_str(text.translate(_LOWER)) if text else []
+    # Lower case of bytes touches ASCII letters only.
+    return _splitter().pre_tokenize_str(text.encode("utf-8", "replace").lower().decode()) if text else []
 
 
 def features(text: str | None, buckets: int = BUCKETS) -> tuple[int, np.ndarray]:
     """The number of words, and the bucket of every run of words."""
-    words = [word.encode("utf-8", "replace") for word, _ in words_with_offsets(text)]
-    line = b" ".join(words)
-    ends, at = [], -1
-    for word in words:
-        at += len(word) + 1
-        ends.append(at)
-    # The window of one pair; then each window goes on to the next pair's end.
+    found = words_with_offsets(text)
+    if not found:
+        return 0, np.empty(0, np.uint32)
+    words = " ".join([word for word, _ in found]).encode().split(b" ")
+    # What lies between the end of one pair and that of the next.
+    steps = [b" " + word for word in words]
     window = list(map(crc32, words))
-    steps = [line[a:b] for a, b in zip(ends, ends[1:])]
-    found = window.copy()
+    runs = window.copy()
     for longer in range(1, RUN):
-        window = list(map(crc32, steps[longer - 1 :], window))
-        found += window
-    return len(words), np.array(found, np.uint32) % np.uint32(buckets)
+        window = list(map(crc32, steps[longer:], window))
+        runs += window
+    return len(words), np.array(runs, np.uint32) % np.uint32(buckets)
 
 
-def histogram(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(bucket, n) of all features of ``docs.text``; buckets without any are absent."""
+def _width(buckets: int) -> type:
+    return np.uint16 if buckets <= 1 << 16 else np.uint32
+
+
+def featured(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``docs`` with n_words and features, the buckets as bytes, in place of the text."""
+    width = _width(buckets)
+
+    @F.pandas_udf("n_words long, features binary")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x in texts:
+            n, found = features(x, buckets)
+            rows.append((n, found.astype(width).tobytes()))
+        return pd.DataFrame(rows, columns=["n_words", "features"])
+
+    others = [c for c in docs.columns if c not in ("text", "n_words", "features")]
+    return docs.select(*others, of(F.col("text")).alias("_f")).select(*others, "_f.*")
+
+
+def histogram(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n) of all ``rows.features``; buckets without any are absent."""
+    width = _width(buckets)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                total += np.bincount(features(text, buckets)[1], minlength=buckets)
+            for found in batch["features"]:
+                total += np.bincount(np.frombuffer(found, width), minlength=buckets)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"bucket": used.astype("int32"), "n": total[used]})
 
-    return docs.select("text").mapInPandas(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    counts = rows.select("features").mapInPandas(run, "bucket int, n long")
+    return counts.groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[int]:
-    """The gain of each bucket, in thousandths: how much more of it the target has."""
-    spark = docs.sparkSession
-    raw = histogram(docs, buckets).withColumnRenamed("n", "s")
+def gains(rows: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """The gain of each bucket, in thousandths: how much more of it the target has. Both
+    frames are those of ``featured``."""
+    spark = rows.sparkSession
+    raw = histogram(rows, buckets).withColumnRenamed("n", "s")
     wanted = histogram(target, buckets).withColumnRenamed("n", "t")
     both = spark.range(buckets).select(F.col("id").cast("int").alias("bucket"))
     both = both.join(raw, "bucket", "left").join(wanted, "bucket", "left").na.fill(0)
@@ -103,19 +124,16 @@ def gains(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> list[in
     return [row["gain"] for row in both.select("bucket", gain.alias("gain")).orderBy("bucket").collect()]
 
 
-def weigh(text: Column, gain: list[int]) -> Column:
-    """A struct of n_words, n_features and weight, the sum of the features' gains."""
-    table = np.array(gain, np.int64)
+def weigh(found: Column, gain: list[int]) -> Column:
+    """A struct of n_features and weight, the sum of the features' gains."""
+    table, width = np.array(gain, np.int64), _width(len(gain))
 
-    @F.pandas_udf("n_words long, n_features long, weight long")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for x in texts:
-            n, found = features(x, len(table))
-            rows.append((n, len(found), int(table[found].sum())))
-        return pd.DataFrame(rows, columns=["n_words", "n_features", "weight"], dtype="int64")
+    @F.pandas_udf("n_features long, weight long")
+    def of(features: pd.Series) -> pd.DataFrame:
+        buckets = [np.frombuffer(x, width) for x in features]
+        return pd.DataFrame({"n_features": [len(b) for b in buckets], "weight": [table[b].sum() for b in buckets]}, dtype="int64")
 
-    return of(text)
+    return of(found)
 
 
 def noise(doc_id: Column, seed: int = SEED) -> Column:
@@ -130,8 +148,9 @@ def resample(
 ) -> DataFrame:
     """doc_id, n_features, weight, score and rank of every row of ``docs``; of those with at
     least ``min_words`` words, ``percent`` in a hundred are drawn and have a rank."""
-    gain = gains(docs, target, buckets)
-    weighed = docs.select("doc_id", weigh(F.col("text"), gain).alias("w")).select("doc_id", "w.*")
+    found = store(featured(docs.select("doc_id", "text"), buckets), "features")
+    gain = gains(found, featured(target.select("text"), buckets), buckets)
+    weighed = found.select("doc_id", "n_words", weigh(F.col("features"), gain).alias("w")).select("doc_id", "n_words", "w.*")
     weighed = weighed.withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     # The row number only tells equal rows apart; which of them has which does not show.
     rows = store(weighed.withColumn("row", F.monotonically_increasing_id()), "scores")
