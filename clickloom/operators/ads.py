@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions import event_date, event_minute, json_pairs
-from clickloom.operators.joins import lookup
+from clickloom.operators.joins import is_small, key_bits, split_by_bits
 from clickloom.operators.ranking import top_rows
 
 LOG_FIELDS = ["timestamp", "area", "city", "userid", "adid"]
@@ -97,9 +97,20 @@ def blacklist_of(counts: DataFrame, threshold: int = 100) -> DataFrame:
 
 
 def drop_blacklisted(logs: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """Logs without those that arrive after the batch in which their user was listed."""
+    """Logs without those that arrive after the batch in which their user was listed.
+
+    Of a blacklist too large to broadcast a bitmap picks the logs that need be compared; the
+    logs of other users are not shuffled.
+    """
+    if is_small(blacklist):
+        return _not_after_listing(logs, F.broadcast(blacklist))
+    may, rest = split_by_bits(logs, "userid", key_bits(blacklist, "userid"))
+    return _not_after_listing(may, blacklist).select(*logs.columns).unionAll(rest.select(*logs.columns))
+
+
+def _not_after_listing(logs: DataFrame, blacklist: DataFrame) -> DataFrame:
     return (
-        logs.join(lookup(blacklist), "userid", "left")
+        logs.join(blacklist, "userid", "left")
         .where(F.col("listed_batch").isNull() | (F.col("batch_id") <= F.col("listed_batch")))
         .select(*logs.columns)
     )

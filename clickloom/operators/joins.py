@@ -16,13 +16,14 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def is_small(table: DataFrame) -> bool:
-    """Whether Spark puts a table below its broadcast limit.
+def estimated_bytes(table: DataFrame) -> int:
+    """Spark's estimate from the files behind a table; an unknown size is a large one."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The size comes from the files behind the table, and an unknown size is a large one.
-    """
-    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+def is_small(table: DataFrame) -> bool:
+    """Whether Spark puts a table below its broadcast limit."""
+    return estimated_bytes(table) <= table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
 def lookup(table: DataFrame) -> DataFrame:

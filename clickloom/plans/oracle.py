@@ -266,6 +266,9 @@ _BY_USER = _logs(1).replace(
     f"timestamp // {td.MILLIS_PER_DAY}", "cast(userid as bigint) % 3"
 )
 ORACLE_SQL |= {
+    "date_partitioned_category_counts": ORACLE_SQL["category_action_counts"],
+    "user_bucketed_category_counts": ORACLE_SQL["category_action_counts"],
+    "page_jump_counts_sliced": ORACLE_SQL["page_jump_counts"],
     "job_category_top10": ORACLE_SQL["category_top10"],
     "job_category_session_top10": ORACLE_SQL["category_session_top10"],
     "job_page_jump_ratio": ORACLE_SQL["page_jump_ratio"],

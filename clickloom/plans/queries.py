@@ -1,5 +1,6 @@
 """Every operator as a query over the test tables."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,12 @@ from clickloom.functions import composite_key
 from clickloom.operators import actions as act
 from clickloom.operators import ads, area, category, funnel, words
 from clickloom.plans import jobs
+from clickloom.schemas import TABLES
 from clickloom.session import configure, new_shared_dir, store
+from clickloom.sinks.tables import replace_table
 from clickloom.sources import testdata as td
 from clickloom.sources.params import JobParams
+from clickloom.sources.tables import read_table
 from clickloom.streaming.ads import AdsPipeline
 from clickloom.streaming.replay import replay
 from clickloom.streaming.words import WordCountPipeline
@@ -105,6 +109,29 @@ def category_session_top10(spark, sf_dir):
     return category.top_category_sessions(category.clicks_of_sessions(counts), top)
 
 
+def _as_table(spark, frame, name, **layout):
+    """The input table ``name`` written to the catalog with a layout, and read from there."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    replace_table(frame.select(*TABLES[name].names), table, path=new_shared_dir(spark, name), **layout)
+    return read_table(spark, name, table=table)
+
+
+@query
+def date_partitioned_category_counts(spark, sf_dir):
+    # A folder for each date: the range of dates leaves the other folders unread.
+    actions = _as_table(spark, td.user_visit_action(spark, sf_dir), "user_visit_action", partition_by=["date"])
+    return category.category_action_counts(act.select_actions(actions, td.user_info(spark, sf_dir), PARAMS))
+
+
+@query
+def user_bucketed_category_counts(spark, sf_dir):
+    # Both sides dealt by user: where the users are not broadcast they meet without a shuffle.
+    layout = {"bucket_by": ["user_id"], "buckets": 8}
+    actions = _as_table(spark, td.user_visit_action(spark, sf_dir), "user_visit_action", **layout)
+    users = _as_table(spark, td.user_info(spark, sf_dir), "user_info", **layout)
+    return category.category_action_counts(act.select_actions(actions, users, PARAMS))
+
+
 # Page flow
 
 
@@ -120,6 +147,14 @@ def page_jump_counts(spark, sf_dir):
     )
 
 
+@query
+def page_jump_counts_sliced(spark, sf_dir):
+    # The form for large data: sessions cut by their rows.
+    return funnel.page_jumps(
+        td.user_visit_action(spark, sf_dir), funnel.flow_pairs(PARAMS.page_flow), td.ACTION_ORDER, whole_below=0
+    )
+
+
 @query
 def page_jump_ratio(spark, sf_dir):
     return funnel.page_jump_ratio(

@@ -3,6 +3,7 @@
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def kafka_options(
@@ -36,10 +37,15 @@ def kafka_options(
 
 def kafka_lines(spark: SparkSession, servers: str, topic: str, field: str = "value", **settings) -> DataFrame:
     """Message values (or keys) of a topic. Needs the Kafka connector on the class path."""
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **settings))
+    return message_lines(reader.load(), field)
+
+
+def message_lines(messages: DataFrame, field: str = "value") -> DataFrame:
+    """The text of the values (or keys) of Kafka messages; null where a message has none."""
     if field not in ("value", "key"):
         raise ValueError("field is 'value' or 'key'")
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **settings))
-    return reader.load().selectExpr(f"cast({field} as string) as value")
+    return messages.select(F.col(field).cast("string").alias("value"))
 
 
 def text_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -5,12 +5,12 @@ import re
 import pytest
 from helpers import actions, rows
 
-from clickloom.operators import category, funnel, ranking
+from clickloom.operators import ads, category, funnel, joins, ranking
 from clickloom.operators.actions import select_actions
 from clickloom.operators.joins import lookup
 from clickloom.plans import jobs, queries
 from clickloom.plans.queries import QUERIES
-from clickloom.sinks.tables import write_parquet
+from clickloom.sinks.tables import replace_table, write_parquet
 from clickloom.sources.params import JobParams
 from clickloom.sources.tables import from_rows, read_table
 
@@ -108,18 +108,87 @@ def test_filters_and_columns_reach_the_scan(spark, stored):
     }
 
 
-def test_page_jumps_shuffle_four_columns_by_session_and_slice(spark, stored):
+def test_page_jumps_shuffle_their_columns_once(spark, stored):
     text = plan(funnel.page_jumps(stored, [(1, 2)]))
-    assert re.search(r"hashpartitioning\(session_id#\d+, slice#\d+", text)
+    assert text.count("hashpartitioning(") == 1 and re.search(r"hashpartitioning\(session_id#\d+, \d+\)", text)
     schema = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
     assert {c.split("#")[0] for c in schema.split(",")} == {"session_id", "page_id", "action_time"}
     assert text.count("FileScan") == 1
 
 
+def test_page_jumps_of_large_data_shuffle_their_columns_once(spark, stored, monkeypatch):
+    seen = {}
+    kept = funnel.store
+    monkeypatch.setattr(funnel, "store", lambda df, name: seen.update({name: plan(df)}) or kept(df, name))
+    text = plan(funnel.page_jumps(stored, [(1, 2)], whole_below=0))
+    assert "actions" not in text.split("Location")[0]
+    assert len(re.findall(r"hashpartitioning\(session_id#\d+, slice#\d+", seen["session-slices"])) == 1
+
+
 def test_page_view_filter_reaches_the_scan(spark, stored):
     assert "In(page_id, [1,2])" in funnel.page_views(stored, [1, 2])._jdf.queryExecution().toString()
 
 
+def test_a_date_range_reads_its_folders_only(spark, tmp_path):
+    data = [{"user_id": i % 7, "date": f"2024-01-{i % 28 + 1:02}", "click_category_id": i % 3} for i in range(280)]
+    write_parquet(actions(spark, data).repartition(1), str(tmp_path / "actions"), partition_by=["date"])
+    stored = read_table(spark, "user_visit_action", str(tmp_path / "actions"))
+    users = from_rows(spark, "user_info", [(i, "", "", 20 + i, "", "") for i in range(7)])
+    some = select_actions(stored, users, JobParams.from_mapping({"startDate": "2024-01-05", "endDate": "2024-01-07"}))
+    assert re.search(r"PartitionFilters: \[[^\]]*date#\d+ >= 2024-01-05", plan(some))
+    # What lies in other folders is not opened: a file that cannot be read does no harm there.
+    for file in (tmp_path / "actions/date=2024-01-20").glob("part-*"):
+        file.write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="CANNOT_READ|not a Parquet"):
+        select_actions(stored, users, JobParams()).toArrow()
+    assert rows(some.groupBy("date").count()) == [(f"2024-01-0{d}", 10) for d in (5, 6, 7)]
+
+
+def test_tables_bucketed_by_user_meet_without_a_shuffle(spark, tmp_path):
+    data = [{"user_id": 1 if i % 3 else i, "click_category_id": i % 5} for i in range(600)]
+    people = from_rows(spark, "user_info", [(i, "", "", 20 + i % 40, "", "") for i in range(600)])
+    for name, frame in (("user_visit_action", actions(spark, data)), ("user_info", people)):
+        replace_table(frame, f"{name}_b", bucket_by=["user_id"], buckets=4, path=str(tmp_path / name))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = select_actions(
+            read_table(spark, "user_visit_action", table="user_visit_action_b"),
+            read_table(spark, "user_info", table="user_info_b"),
+            JobParams.from_mapping({"endAge": 50}),
+        )
+        text = plan(joined)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        expected = sum(1 for row in data if 20 + row["user_id"] % 40 <= 50)
+        assert joined.count() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for name in ("user_visit_action_b", "user_info_b"):
+            spark.sql(f"drop table {name}")
+
+
+def test_logs_of_users_not_listed_are_not_shuffled(spark, tmp_path):
+    write_parquet(spark.range(1000).selectExpr("concat('u', id) as userid", "0L as listed_batch"), str(tmp_path / "listed"))
+    logs = spark.range(4000).selectExpr("concat('u', id) as userid", "id % 2 as batch_id")
+    write_parquet(logs, str(tmp_path / "logs"))
+    listed, logs = (spark.read.parquet(str(tmp_path / x)) for x in ("listed", "logs"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        kept = ads.drop_blacklisted(logs, listed)
+        left = joins.without(logs, listed, "userid")
+        for frame in (kept, left):
+            # One branch of the union joins by sorting; the other is not shuffled at all.
+            text = plan(frame)
+            rest = text[text.rindex("Project", 0, text.rindex("logs]")) :]
+            assert text.count("Join LeftAnti") + text.count("SortMergeJoin") >= 1 and "BroadcastHashJoin" in text
+            assert "hashpartitioning(userid" not in rest.split("BroadcastExchange")[0]
+        assert kept.count() == 3500 and left.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert ads.drop_blacklisted(logs, listed).count() == 3500 and joins.without(logs, listed, "userid").count() == 3000
+
+
 def test_only_small_tables_are_broadcast(spark, tmp_path):
     write_parquet(spark.range(1000), str(tmp_path / "ids"))
     ids = spark.read.schema("id long").parquet(str(tmp_path / "ids"))

@@ -46,7 +46,15 @@ def test_kafka_options():
 
 def test_kafka_lines_take_value_or_key(spark):
     with pytest.raises(ValueError):
-        streams.kafka_lines(spark, "b:9092", "t", field="offset")
+        streams.message_lines(spark.range(1), "offset")
+
+
+def test_message_values_and_keys_as_text(spark):
+    data = [(bytearray(b"k1"), bytearray("v \u00e9".encode()), 0), (None, bytearray(b""), 1), (bytearray(b"k"), None, 2)]
+    messages = spark.createDataFrame(data, "key binary, value binary, offset long")
+    assert [r[0] for r in streams.message_lines(messages).collect()] == ["v \u00e9", "", None]
+    assert [r[0] for r in streams.message_lines(messages, "key").collect()] == ["k1", None, "k"]
+    assert streams.message_lines(messages, "key").columns == ["value"]
 
 
 def test_streams_of_lines(spark, tmp_path):
