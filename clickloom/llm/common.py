@@ -93,3 +93,29 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
+
+
+class Recent:
+    """A bounded memory of two generations: what is used stays when the older one goes.
+
+    ``budget`` is the number of bytes for both; ``size`` tells those of an entry.
+    """
+
+    def __init__(self, budget: int, size):
+        self.half, self.used, self.size = budget // 2, 0, size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.pop(key, None)) is not None:
+            self.keep(key, found)
+        return found
+
+    def keep(self, key, value):
+        size = self.size(key, value)
+        if self.used + size > self.half:
+            self.young, self.old, self.used = {}, self.young, 0
+        self.young[key] = value
+        self.used += size
+        return value

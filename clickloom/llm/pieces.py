@@ -5,11 +5,16 @@ encoding of the two joined. So every prefix of a text has one last piece: the pi
 ends there (found by an Aho-Corasick automaton) and that may follow the last piece of
 what is left before it (the pair test). The ids are read off backwards.
 
-The pair test merges the two pieces' characters by score and is remembered. A character
-without a piece takes part in no merge and becomes its UTF-8 bytes. No piece has a word
-mark after another character, and a line feed has no piece, so a text falls into runs
-that are encoded on their own and remembered; the memory is bounded and starts anew when
-full.
+The pair test goes back in time. Two pieces side by side were made by merges of their own;
+undone one by one, the last first, these leave what stood at the border before. If that could
+have been merged across the border, earlier than the merge that was undone, the two pieces
+never come about. A model where a piece is not scored below its parts is refused.
+
+A character without a piece takes part in no merge and becomes its UTF-8 bytes. No piece has
+a word mark after another character, and a line feed has no piece, so a text falls into runs
+that are encoded on their own. Runs and pair tests are remembered within a number of bytes.
+
+Decoding looks at ids only: it joins the pieces, and the byte pieces between them as UTF-8.
 
 Defined results: null is the empty text, whose only id is the end id. Every row is
 encoded on its own; ids, repeated rows and other columns do not matter.
@@ -25,12 +30,14 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import Memo
+from clickloom.llm.common import Memo, Recent
 
 MARK = "▁"
 RUNS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-RUN_MEMO = 400_000
-PAIR_MEMO = 1_000_000
+# Bytes for the runs that a worker remembers, and what one takes beside its text and ids.
+RUN_BYTES = 40 << 20
+ENTRY_BYTES = 220
+PAIR_MEMO = 200_000
 LONGEST_REMEMBERED = 64
 RESULT = "ids array<int>, decoded string"
 
@@ -44,31 +51,44 @@ class PrefixTable:
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.end = model.eos_id()
-        self.bytes, self.piece, self.score = {}, {}, {}
-        self.automaton = ahocorasick.Automaton()
-        self.text = {}
-        for i in range(model.get_piece_size()):
+        self.bytes, self.byte, self.piece, self.score = {}, {}, {}, {}
+        self.text = [""] * model.get_piece_size()
+        for i in range(len(self.text)):
             text = model.id_to_piece(i)
             if model.is_byte(i):
                 self.bytes[int(text[3:5], 16)] = i
+                self.byte[i] = int(text[3:5], 16)
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 if MARK in text.lstrip(MARK) or "\n" in text:
                     raise ValueError(f"a piece with a word mark or line feed inside: {text!r}")
                 self.piece[text] = i
                 self.text[i] = text
                 self.score[text] = model.get_score(i)
+        if len(self.text) > 1 << 16:
+            raise ValueError("a model of more than 65,536 pieces")
+        self.names = list(map(str, range(len(self.text))))
+        self.alphabet = {text for text in self.piece if len(text) == 1}
+        # Only pieces that their own text is merged to can ever come about.
+        self.parts: list[tuple[str, str] | None] = [None] * len(self.text)
+        self.automaton = ahocorasick.Automaton()
+        for text, i in self.piece.items():
+            parts, last = self.merged(text)
+            if parts == [text]:
+                self.parts[i] = last
+                if last and any(len(x) > 1 and self.score[x] < self.score[text] for x in last):
+                    raise ValueError(f"a piece with a better score than its part: {text!r}")
                 self.automaton.add_word(text, (len(text), i))
         self.automaton.make_automaton()
         self.pairs = Memo(PAIR_MEMO)
-        self.whole = {}
-        self.runs = Memo(RUN_MEMO)
+        self.runs = Recent(RUN_BYTES, lambda run, ids: ENTRY_BYTES + 2 * len(run) + 8 * len(ids))
 
-    def merged(self, text: str) -> list[str]:
-        """Plain merging: the best-scored adjacent pair first, the leftmost among equals."""
+    def merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """Plain merging: the best-scored adjacent pair first, the leftmost among equals; what
+        is left, and the last two that were merged."""
         parts = list(text)
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
-        heap = []
+        heap, last = [], None
 
         def offer(i):
             j = after[i]
@@ -84,6 +104,7 @@ class PrefixTable:
             j = after[i] if parts[i] else len(text)
             if j >= len(text) or len(parts[i]) + len(parts[j]) != size or not parts[i]:
                 continue
+            last = parts[i], parts[j]
             parts[i] += parts[j]
             parts[j] = ""
             after[i] = after[j]
@@ -92,65 +113,89 @@ class PrefixTable:
             for k in (before[i], i):
                 if k >= 0 and offer(k):
                     heappush(heap, heap.pop())
-        return [x for x in parts if x]
-
-    def stands(self, i: int) -> bool:
-        """Whether a piece is the encoding of its own text."""
-        if i not in self.whole:
-            self.whole[i] = self.merged(self.text[i]) == [self.text[i]]
-        return self.whole[i]
+        return [x for x in parts if x], last
 
     def follows(self, a: int, b: int) -> bool:
-        key = a << 32 | b
-        known = self.pairs.get(key)
-        if known is None:
-            x, y = self.text[a], self.text[b]
-            known = self.pairs.keep(key, self.merged(x + y) == [x, y])
-        return known
-
-    def encode_run(self, run: str) -> tuple[list[int], str]:
-        n = len(run)
-        ending = [()] * n
-        for at, match in self.automaton.iter(run):
-            ending[at] += (match,)
-        last = [None] * (n + 1)
-        for end in range(1, n + 1):
-            for size, i in ending[end - 1]:
-                start = end - size
-                left = last[start]
-                if (start == 0 or left == -1) and self.stands(i) or (left or -1) >= 0 and self.follows(left, i):
-                    last[end] = i
-                    break
+        """Whether two pieces side by side are the encoding of their texts joined."""
+        score, piece, parts = self.score, self.piece, self.parts
+        x, y = self.text[a], self.text[b]
+        if x + y in score:
+            return False
+        while True:
+            made = parts[piece[x]], parts[piece[y]]
+            if made == (None, None):
+                return True
+            # Of equal merges the left one comes first, so the right one is undone first.
+            if made[0] is None or made[1] is not None and score[y] <= score[x]:
+                undone, y = score[y], made[1][0]
+                if score.get(x + y, undone - 1) >= undone:
+                    return False
             else:
-                if run[end - 1] not in self.piece:
+                undone, x = score[x], made[0][1]
+                if score.get(x + y, undone) > undone:
+                    return False
+
+    def encode_run(self, run: str) -> tuple[int, ...]:
+        # The last piece of each prefix; -1 after a character without a piece, and at the start.
+        last: list[int | None] = [None] * (len(run) + 1)
+        last[0] = -1
+        if not self.alphabet.issuperset(run):
+            for end, character in enumerate(run, 1):
+                if character not in self.alphabet:
                     last[end] = -1
-        ids, end = [], n
+        known = self.pairs.get
+        for at, (size, i) in self.automaton.iter(run, 0):
+            if last[at + 1] is None:
+                left = last[at + 1 - size]
+                if left != -1:
+                    pair = left << 16 | i
+                    fits = known(pair)
+                    if fits is None:
+                        fits = self.pairs.keep(pair, self.follows(left, i))
+                    if not fits:
+                        continue
+                last[at + 1] = i
+        ids, end = [], len(run)
         while end:
-            if last[end] == -1:
+            i = last[end]
+            if i == -1:
                 ids += [self.bytes[x] for x in reversed(run[end - 1].encode())]
                 end -= 1
             else:
-                ids.append(last[end])
-                end -= len(self.text[last[end]])
-        return ids[::-1], run.replace(MARK, " ")
+                ids.append(i)
+                end -= len(self.text[i])
+        return tuple(ids[::-1])
 
-    def run(self, run: str):
+    def run(self, run: str) -> tuple[int, ...]:
         known = self.runs.get(run)
         if known is None:
-            ids, decoded = self.encode_run(run)
-            known = (ids, " ".join(map(str, ids)), decoded)
+            known = self.encode_run(run)
             if len(run) <= LONGEST_REMEMBERED:
                 self.runs.keep(run, known)
         return known
 
-    def encode(self, text: str | None):
-        """The (ids, ids as text, decoded text) of each run."""
+    def encode(self, text: str | None) -> list[int]:
+        """The ids, the end id last."""
         marked = (MARK + text.replace(" ", MARK)) if text else ""
-        return list(map(self.run, RUNS.findall(marked)))
-
-    def decode(self, parts) -> str:
-        """The pieces' text without the mark that encoding put before the first word."""
-        return "".join([p[2] for p in parts])[1:]
+        ids: list[int] = []
+        young = self.runs.young
+        for run in RUNS.findall(marked):
+            known = young.get(run)
+            if known is None:
+                known = self.run(run)
+                young = self.runs.young
+            ids += known
+        ids.append(self.end)
+        return ids
+
+    def decode(self, ids: list[int]) -> str:
+        """The text of ids, without the mark that encoding put before the first word."""
+        if self.byte.keys().isdisjoint(ids):
+            joined = "".join([self.text[i] for i in ids])
+        else:
+            coded = b"".join([bytes((self.byte[i],)) if i in self.byte else self.text[i].encode() for i in ids])
+            joined = coded.decode("utf-8", "replace")
+        return joined.replace(MARK, " ")[1:]
 
 
 @cache
@@ -167,8 +212,8 @@ def encode(text: Column, model_path: str) -> Column:
         for texts in batches:
             rows = []
             for x in texts:
-                parts = table.encode(x)
-                rows.append(([i for p in parts for i in p[0]] + [table.end], table.decode(parts)))
+                ids = table.encode(x)
+                rows.append((ids, table.decode(ids)))
             yield pd.DataFrame(rows, columns=["ids", "decoded"])
 
     return of(text)
@@ -184,15 +229,10 @@ def encode_digest(text: Column, model_path: str) -> Column:
         for texts in batches:
             rows = []
             for x in texts:
-                parts = table.encode(x)
-                ids = " ".join([p[1] for p in parts] + [str(table.end)])
-                rows.append(
-                    (
-                        sum([len(p[0]) for p in parts]) + 1,
-                        hashlib.sha256(ids.encode()).hexdigest(),
-                        hashlib.sha256(table.decode(parts).encode()).hexdigest(),
-                    )
-                )
+                ids = table.encode(x)
+                named = " ".join([table.names[i] for i in ids])
+                decoded = table.decode(ids)
+                rows.append((len(ids), hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return of(text)

@@ -1,3 +1,5 @@
+import random
+
 import public_tokenizers
 import sentencepiece
 from brute import CLASHES, ODD_TEXTS, documents, sha
@@ -19,8 +21,8 @@ def library(text):
 
 
 def own(text):
-    parts = TABLE.encode(text)
-    return [i for p in parts for i in p[0]] + [TABLE.end], TABLE.decode(parts)
+    ids = TABLE.encode(text)
+    return ids, TABLE.decode(ids)
 
 
 def test_query_matches_the_library(spark, sf_dir, table_rows):
@@ -51,9 +53,33 @@ def test_odd_rows(spark):
     assert docs.where("false").select(op.encode(F.col("text"), PATH)).count() == 0
 
 
-def test_memory_starts_anew():
+def test_memory_is_bounded_and_keeps_what_is_used():
     small = op.PrefixTable(PATH)
-    small.runs.limit = small.pairs.limit = 3
-    text = "several different words, twice: several different words"
-    assert [i for p in small.encode(text) for i in p[0]] + [small.end] == library(text)[0]
-    assert len(small.runs) <= 3
+    small.runs.half, small.pairs.limit = 2000, 3
+    text = "several different words, twice: several different words " * 3 + " ".join(map(str, range(200)))
+    assert small.encode(text) == library(text)[0]
+    assert small.runs.used <= 2000 and len(small.pairs) <= 3
+    assert sum(small.runs.size(k, v) for k, v in small.runs.young.items()) == small.runs.used
+
+
+def test_the_pair_test_is_that_of_merging():
+    rng = random.Random(1)
+    stands = [i for text, i in TABLE.piece.items() if text in TABLE.automaton]
+    short = [i for i in stands if len(TABLE.text[i]) < 3]
+    for k in range(20_000):
+        a, b = rng.choice(short if k % 2 else stands), rng.choice(short if k % 3 else stands)
+        x, y = TABLE.text[a], TABLE.text[b]
+        assert TABLE.follows(a, b) == (TABLE.merged(x + y)[0] == [x, y])
+
+
+@given(st.lists(st.integers(0, 31_999), max_size=30))
+def test_any_ids_decode_as_by_the_library(ids):
+    """Decoding has the ids only; the library drops a leading mark, where there is one."""
+    pieces = [i for i in ids if TABLE.text[i] or i in TABLE.byte]
+    first = TABLE.piece["▁a"]
+    assert TABLE.decode([first, *pieces]) == LIBRARY.decode([first, *pieces])
+
+
+def test_long_texts_without_a_space(spark):
+    for text in ("x" * 3000, "日本" * 400, "ab" * 2000 + "\n" + "😀" * 300):
+        assert own(text) == library(text)
