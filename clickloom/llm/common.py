@@ -8,6 +8,7 @@ import clickloom
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.operators.joins import key_bits, split_by_bits
 from clickloom.session import store
 
 SPACE = "[\\x20\\x09-\\x0D]+"
@@ -33,39 +34,27 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def row_digest() -> Column:
-    """Names a row of documents by its id and text, whatever is null or repeated."""
-    return F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(1))
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a number of its own for every row.
 
-
-# Bits of the filter below: 4 MB, whatever the number of keys.
-FILTER_BITS = 1 << 25
+    The rows are written out with it, so that each keeps its number wherever and however
+    often they are read, and rows that are equal in everything are still two.
+    """
+    return store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
 def split_rows(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """The rows that may have one of ``keys`` (long), and those that have none for certain.
-
-    A bitmap of the keys' remainders has a fixed size and is broadcast. So only few other
-    rows need be shuffled to meet the keys, and however many keys there are, a row that has
-    one is in the first part.
-    """
-    slot = F.pmod(F.col(key), F.lit(FILTER_BITS))
-    number, place = F.bitmap_bucket_number(slot), F.bitmap_bit_position(slot)
-    found = keys.groupBy(number.alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bits"))
-    bits = store(found, "row-filter")
-    met = rows.withColumn("_bucket", number).join(F.broadcast(bits), "_bucket", "left")
-    byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    one = F.getbit(byte, (place % 8).cast("int")) == 1
-    marked = met.withColumn("_may", F.coalesce(one, F.lit(False)))
-    extra = ["_bucket", "_bits", "_may"]
-    return marked.where("_may").drop(*extra), marked.where("not _may").drop(*extra)
+    """The rows that may have one of ``keys``, and those that have none for certain: only few
+    other rows need be shuffled to meet the keys."""
+    return split_by_bits(rows, key, store(key_bits(keys, key), "row-filter"))
 
 
 def drop_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose digest is not in ``gone`` (row); every column is kept."""
-    gone = store(gone.select(F.col("row").alias("_row")).distinct(), "rows-to-drop")
-    may, rest = split_rows(docs.withColumn("_row", row_digest()), gone, "_row")
-    return may.join(gone, "_row", "left_anti").select(*docs.columns).unionAll(rest.select(*docs.columns))
+    """The rows of ``docs``, as ``numbered``, less those of ``gone`` (_row); without the number."""
+    gone = store(gone.select("_row").distinct(), "rows-to-drop")
+    columns = [c for c in docs.columns if c != "_row"]
+    may, rest = split_rows(docs, gone, "_row")
+    return may.join(gone, "_row", "left_anti").select(*columns).unionAll(rest.select(*columns))
 
 
 _shipped: set[str] = set()

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import drop_rows, row_digest, sha256
+from clickloom.llm.common import drop_rows, numbered, sha256
 from clickloom.session import store
 
 WINDOW = 10
@@ -123,6 +123,7 @@ class Index:
         if vocabulary is None:
             lists = lists.join(terms.select("term"), "term", "left_semi")
         parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        self.runs = runs
         by_term = lists.repartitionByRange(parts, "term", "row").sortWithinPartitions("term", "row")
         self.postings = store(by_term, "inverted-index")
 
@@ -169,8 +170,10 @@ class Index:
         """phrase, row, at (the rarest term's position) where all terms occur in order and
         each is at most ``slack`` words off its place relative to the rarest term.
 
-        Needs an index built without ``runs``.
+        Needs an index built without ``runs``: one with has no postings of lone words.
         """
+        if self.runs:
+            raise ValueError("an index built with runs lacks postings that a proximity search needs")
         ranked = store(self.ranked(phrases), "ranked-terms")
         first = ranked.where("rank = 0").select("phrase", "size", "term", F.col("place").alias("anchor"))
         found = first.join(self.postings, "term").select(
@@ -240,10 +243,22 @@ def leak_report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFr
     )
 
 
+def near_report(docs: DataFrame, items: DataFrame, size: int = WINDOW, slack: int = 1) -> DataFrame:
+    """doc_id and near_item_ids, the sorted ids of the items of which a window occurs with its
+    words in order and at most ``slack`` off their places, for every row that has one."""
+    phrases, owners = (store(df, "benchmark-windows") for df in windows(items, size))
+    index = Index(docs, phrases, runs=False)
+    near = index.proximity_matches(phrases, slack).select("phrase", "row").distinct()
+    ids = F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("near_item_ids")
+    found = near.join(owners, "phrase").groupBy("row").agg(ids)
+    return index.documents.join(found, "row").select("doc_id", "near_item_ids")
+
+
 def drop_leaks(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents without a window of the benchmark; every column is kept.
 
-    Rows are told apart by id and text: of two rows with one id, the clean one stays.
+    Rows are told apart by a number of their own: of two rows with one id, the clean one stays.
     """
-    marked = docs.select(F.col("text"), row_digest().alias("doc_id"))
-    return drop_rows(docs, find_leaks(marked, items, size).where("n_hit > 0").select(F.col("doc_id").alias("row")))
+    docs = numbered(docs)
+    found = find_leaks(docs.select("text", F.col("_row").alias("doc_id")), items, size)
+    return drop_rows(docs, found.where("n_hit > 0").select(F.col("doc_id").alias("_row")))

@@ -37,7 +37,13 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def letters(text: str | None) -> bytes:
-    return NOT_LETTERS.sub(" ", (text or "").lower()).strip().encode("utf-8", "replace")
+    """The letters of a text, lower-cased, in words one space apart."""
+    found = NOT_LETTERS.sub(" ", (text or "").lower())
+    # Signs such as fractions and circled numbers belong to words, but are no letters.
+    signs = {ord(c): " " for c in set(found) if c != " " and not c.isalpha()}
+    if signs:
+        found = " ".join(found.translate(signs).split())
+    return found.strip().encode("utf-8", "replace")
 
 
 def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:

@@ -2,10 +2,12 @@
 
 A rolling hash over the hashes of two lines decides after which lines a chunk ends,
 so a passage is cut in the same places wherever it stands. Several chunkings with other
-seeds cut it elsewhere, so that its first and last lines are met too. A chunk with at
-least two lines of words, and ``min_words`` words together, that occurs elsewhere is
-compared byte by byte with its first occurrence (smallest id, then place) and removed if
-equal; the first occurrence stays.
+seeds cut it elsewhere. What stands before and after a passage decides where its outer
+chunks begin and end, so its ends are anchored beside: each two lines that follow each other
+are a small chunk too, and repeated ones carry the removal line by line up to the passage's
+first and last line. A chunk with at least two lines of words, and ``min_words`` words
+together, that occurs elsewhere is compared byte by byte with its first occurrence (smallest
+id, then row number, then place) and removed if equal; the first occurrence stays.
 
 Only hashes of chunks are shuffled at first. Then the texts that have repeated chunks, found
 by a filter of fixed size, meet them by a join on the row; what leaves that join is the text
@@ -13,9 +15,8 @@ of repeated chunks only. All other texts stay where they are. A chunk that very
 many documents have is one row per occurrence; nothing gathers them.
 
 Defined results: a null text stays null with no lines; an empty one has one empty line.
-Rows are told apart by id and text; repeated rows of both count as one occurrence and are
-treated alike. Null ids come last when the first occurrence is chosen. All columns are
-kept; ``n_chars``, if there, follows a changed text.
+Every row has a number of its own, so of rows that are equal in all columns the first keeps
+its passages. Null ids come last when the first occurrence is chosen. All columns are kept; ``n_chars``, if there, follows a changed text.
 """
 
 from collections.abc import Iterator
@@ -26,10 +27,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import row_digest, split_rows
+from clickloom.llm.common import numbered, split_rows
 from clickloom.session import store
 
-CHUNKINGS = 6
+CHUNKINGS = 3
 DIVISOR = 2
 MIN_WORDS = 10
 _STEP = 0x9E3779B97F4A7C15
@@ -62,6 +63,7 @@ def chunks_of(text: str | None, chunkings: int = CHUNKINGS, divisor: int = DIVIS
     spans = {
         span for cuts in boundaries(lines, chunkings, divisor) for span in zip(cuts[:-1].tolist(), cuts[1:].tolist())
     }
+    spans.update((i, i + 2) for i in range(len(lines) - 1))
     for a, b in sorted(spans):
         if sum(map(bool, words[a:b])) >= 2 and sum(words[a:b]) >= min_words:
             yield a, b - a, "\n".join(lines[a:b]).encode("utf-8", "replace")
@@ -77,7 +79,7 @@ def chunk_digests(docs: DataFrame) -> DataFrame:
             ]
             yield pd.DataFrame(rows, columns=["row", "doc_id", "start", "n", "digest"]).astype({"doc_id": "Int64"})
 
-    return docs.select(row_digest().alias("row"), F.col("doc_id").cast("long"), "text").mapInPandas(run, CHUNK)
+    return docs.select(F.col("_row").alias("row"), F.col("doc_id").cast("long"), "text").mapInPandas(run, CHUNK)
 
 
 def _texts(text: Column, spans: Column) -> Column:
@@ -95,8 +97,8 @@ def _texts(text: Column, spans: Column) -> Column:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """row, start, n of every chunk that equals an earlier occurrence."""
-    chunks = store(chunk_digests(docs).distinct(), "chunks")
+    """row, start, n of every chunk that equals an earlier occurrence; ``docs`` are numbered."""
+    chunks = store(chunk_digests(docs), "chunks")
     order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "start")
     classes = chunks.groupBy("digest", "n").agg(F.count("*").alias("times"), F.min(order).alias("first"))
     repeated = classes.where("times > 1").select("digest", "n", "first")
@@ -110,7 +112,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         ).alias("span"),
     )
     by_row = store(met.groupBy("row").agg(F.collect_list("span").alias("spans")), "repeated-spans")
-    may, _ = split_rows(docs.select(row_digest().alias("row"), "text"), by_row, "row")
+    may, _ = split_rows(docs.select(F.col("_row").alias("row"), "text"), by_row, "row")
     texts = may.join(by_row, "row")
     found = texts.select("row", "spans", _texts(F.col("text"), F.col("spans")).alias("contents"))
     found = found.select("row", F.explode(F.arrays_zip("spans", "contents")).alias("x")).select(
@@ -143,20 +145,22 @@ def _kept(text: Column, spans: Column) -> Column:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """All rows and columns, the text without repeated chunks, then _lines: a struct of
     n_lines (before) and n_removed."""
-    spans = repeated_spans(docs.select("doc_id", "text"))
+    columns = docs.columns
+    docs = numbered(docs)
+    spans = repeated_spans(docs.select("_row", "doc_id", "text"))
     by_row = spans.groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
     by_row = store(by_row.withColumnRenamed("row", "_row"), "spans-to-remove")
-    may, rest = split_rows(docs.withColumn("_row", row_digest()), by_row, "_row")
+    may, rest = split_rows(docs, by_row, "_row")
     cut = may.join(by_row, "_row", "left").withColumn("_cut", _kept(F.col("text"), F.col("_spans")))
     changed = {"text": F.col("_cut.text")}
-    if "n_chars" in docs.columns:
+    if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
         fewer = F.length("_cut.text").cast(kind)
         changed["n_chars"] = F.when(F.col("_cut.n_removed") > 0, fewer).otherwise(F.col("n_chars"))
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines")
     done = cut.select(
-        *[changed.get(c, F.col(c)).alias(c) for c in docs.columns],
+        *[changed.get(c, F.col(c)).alias(c) for c in columns],
         F.struct(lines, F.col("_cut.n_removed").alias("n_removed")).alias("_lines"),
     )
-    as_is = rest.select(*docs.columns, F.struct(lines, F.lit(0).cast("long").alias("n_removed")).alias("_lines"))
+    as_is = rest.select(*columns, F.struct(lines, F.lit(0).cast("long").alias("n_removed")).alias("_lines"))
     return done.unionAll(as_is)

@@ -35,10 +35,12 @@ from clickloom.llm.common import Memo, Recent
 MARK = "▁"
 RUNS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 # Bytes for the runs that a worker remembers, and what one takes beside its text and ids.
-RUN_BYTES = 40 << 20
+RUN_BYTES = 48 << 20
 ENTRY_BYTES = 220
-PAIR_MEMO = 200_000
+PAIR_MEMO = 300_000
 LONGEST_REMEMBERED = 64
+# Stands for a byte piece; no other piece has it, since the character itself has no piece.
+BYTE = "\x00"
 RESULT = "ids array<int>, decoded string"
 
 
@@ -59,14 +61,15 @@ class PrefixTable:
                 self.bytes[int(text[3:5], 16)] = i
                 self.byte[i] = int(text[3:5], 16)
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                if MARK in text.lstrip(MARK) or "\n" in text:
-                    raise ValueError(f"a piece with a word mark or line feed inside: {text!r}")
+                if MARK in text.lstrip(MARK) or "\n" in text or BYTE in text:
+                    raise ValueError(f"a piece with a word mark, line feed or zero inside: {text!r}")
                 self.piece[text] = i
                 self.text[i] = text
                 self.score[text] = model.get_score(i)
         if len(self.text) > 1 << 16:
             raise ValueError("a model of more than 65,536 pieces")
         self.names = list(map(str, range(len(self.text))))
+        self.shown = [BYTE if i in self.byte else text for i, text in enumerate(self.text)]
         self.alphabet = {text for text in self.piece if len(text) == 1}
         # Only pieces that their own text is merged to can ever come about.
         self.parts: list[tuple[str, str] | None] = [None] * len(self.text)
@@ -136,34 +139,35 @@ class PrefixTable:
                     return False
 
     def encode_run(self, run: str) -> tuple[int, ...]:
-        # The last piece of each prefix; -1 after a character without a piece, and at the start.
-        last: list[int | None] = [None] * (len(run) + 1)
-        last[0] = -1
+        # The last piece up to each character; -1 for one without a piece, and (as the last
+        # entry, which stands before the first) for the start.
+        last: list[int | None] = [None] * len(run)
+        last.append(-1)
         if not self.alphabet.issuperset(run):
-            for end, character in enumerate(run, 1):
+            for at, character in enumerate(run):
                 if character not in self.alphabet:
-                    last[end] = -1
+                    last[at] = -1
         known = self.pairs.get
-        for at, (size, i) in self.automaton.iter(run, 0):
-            if last[at + 1] is None:
-                left = last[at + 1 - size]
-                if left != -1:
-                    pair = left << 16 | i
-                    fits = known(pair)
-                    if fits is None:
-                        fits = self.pairs.keep(pair, self.follows(left, i))
+        for at, (size, i) in self.automaton.iter(run):
+            if last[at] is None:
+                left = last[at - size]
+                if left >= 0:
+                    fits = known(left << 16 | i)
                     if not fits:
-                        continue
-                last[at + 1] = i
-        ids, end = [], len(run)
-        while end:
-            i = last[end]
+                        if fits is None:
+                            fits = self.pairs.keep(left << 16 | i, self.follows(left, i))
+                        if not fits:
+                            continue
+                last[at] = i
+        ids, at = [], len(run) - 1
+        while at >= 0:
+            i = last[at]
             if i == -1:
-                ids += [self.bytes[x] for x in reversed(run[end - 1].encode())]
-                end -= 1
+                ids += [self.bytes[x] for x in reversed(run[at].encode())]
+                at -= 1
             else:
                 ids.append(i)
-                end -= len(self.text[i])
+                at -= len(self.text[i])
         return tuple(ids[::-1])
 
     def run(self, run: str) -> tuple[int, ...]:
@@ -190,9 +194,8 @@ class PrefixTable:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the mark that encoding put before the first word."""
-        if self.byte.keys().isdisjoint(ids):
-            joined = "".join([self.text[i] for i in ids])
-        else:
+        joined = "".join(map(self.shown.__getitem__, ids))
+        if BYTE in joined:
             coded = b"".join([bytes((self.byte[i],)) if i in self.byte else self.text[i].encode() for i in ids])
             joined = coded.decode("utf-8", "replace")
         return joined.replace(MARK, " ")[1:]
@@ -230,7 +233,7 @@ def encode_digest(text: Column, model_path: str) -> Column:
             rows = []
             for x in texts:
                 ids = table.encode(x)
-                named = " ".join([table.names[i] for i in ids])
+                named = " ".join(map(table.names.__getitem__, ids))
                 decoded = table.decode(ids)
                 rows.append((len(ids), hashlib.sha256(named.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])

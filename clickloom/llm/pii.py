@@ -39,9 +39,9 @@ BASE = {
 # What a text must contain before its pattern is tried.
 NEEDS = {"email": "@", "phone": "+"}
 CANDIDATE = {
-    "number": "(?:\\G|(?<![0-9A-Za-z.+-]))\\(?[0-9][0-9\\x20().-]{7,38}[0-9](?![0-9A-Za-z])",
-    "address": f"(?:\\G|(?<!{LOCAL})){LOCAL}{{1,64}}+ ?[(\\[]at[)\\]] ?[A-Za-z0-9-]++(?: ?(?:\\.|[(\\[]dot[)\\]]) ?[A-Za-z0-9-]++)++",
-    "key": "(?:\\G|(?<![A-Za-z0-9_-]))[A-Za-z0-9_-]{20,200}+(?![A-Za-z0-9_-])",
+    "number": "(?:\\G|(?<![0-9A-Za-z.+-]))\\(?[0-9][0-9\\x20().-]{7,}[0-9](?![0-9A-Za-z])",
+    "address": f"(?:\\G|(?<!{LOCAL})){LOCAL}++ ?[(\\[]at[)\\]] ?[A-Za-z0-9-]++(?: ?(?:\\.|[(\\[]dot[)\\]]) ?[A-Za-z0-9-]++)++",
+    "key": "(?:\\G|(?<![A-Za-z0-9_-]))[A-Za-z0-9_-]{20,}+(?![A-Za-z0-9_-])",
 }
 LOOSE = "array<struct<form:string,at:struct<start:int,end:int,value:string>>>"
 CONTEXT = 40

@@ -27,7 +27,7 @@ for the estimates; if none is left, the rest is kept. An empty table gives no ro
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import SPACE_CHARS, drop_rows, row_digest, words_of
+from clickloom.llm.common import SPACE_CHARS, drop_rows, numbered, words_of
 from clickloom.session import store
 
 PRIOR = 30
@@ -49,13 +49,13 @@ def _left(text: Column, drop: str) -> Column:
 
 
 def base_counts(docs: DataFrame, window: int = 5) -> DataFrame:
-    """doc_id, lang, source, row (its digest), the base counts, n_lines, n_upper, n_punct."""
+    """doc_id, lang, source, row (its number, own or ``_row``), the base counts, n_lines, n_upper, n_punct."""
     text = F.coalesce(F.col("text"), F.lit(""))
     split = docs.select(
         "doc_id",
         "lang",
         "source",
-        row_digest().alias("row"),
+        (F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()).alias("row"),
         text.alias("text"),
         words_of(F.col("text")).alias("w"),
         F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("lines"),
@@ -220,4 +220,6 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep; every column stays."""
-    return drop_rows(docs, judge(docs.select("doc_id", "text", "lang", "source")).where("not kept"))
+    docs = numbered(docs)
+    judged = judge(docs.select("_row", "doc_id", "text", "lang", "source"))
+    return drop_rows(docs, judged.where("not kept").withColumnRenamed("row", "_row"))

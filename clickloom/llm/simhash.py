@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import drop_rows, row_digest
+from clickloom.llm.common import drop_rows, numbered
+from clickloom.operators.joins import lookup
 from clickloom.session import store
 
 BITS = 64
@@ -168,28 +169,32 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, block: int = 2048) -> DataFrame:
-    """doc_id, row (its digest), fp, root (the smallest print reachable) and component_id (the
+    """doc_id, row (its number, own or ``_row``), fp, root (the smallest print reachable) and component_id (the
     smallest doc_id reachable) of every row of ``docs``."""
     prints = fingerprint(F.col("text"), size).alias("fp")
-    rows = store(docs.select("doc_id", row_digest().alias("row"), prints), "fingerprints")
+    row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
+    rows = store(docs.select("doc_id", row.alias("row"), prints), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(nodes.select("fp"), radius, block)).withColumnRenamed("node", "fp")
     named = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    component = named.join(ids, "root").select("fp", "root", "component_id")
-    return rows.join(component, "fp").select("doc_id", "row", "fp", "root", "component_id")
+    named = store(named, "nodes-with-roots")
+    # Fewer rows than fingerprints: where they are small, the others meet them where they lie.
+    ids = store(named.groupBy("root").agg(F.min("first").alias("component_id")), "component-ids")
+    component = store(named.join(lookup(ids), "root").select("fp", "root", "component_id"), "components-of-prints")
+    return rows.join(lookup(component), "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
     """The documents less all but one of each component; every column is kept.
 
-    The one that stays has the component's smallest id; of several rows with that id, the
-    first by digest. Rows of a component whose ids are all null keep the first by digest.
-    Rows that are equal in id and text stay or go together.
+    The one that stays has the component's smallest id; of several rows with that id, or
+    without any, the one with the smallest row number. So of equal rows one stays as well.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), size, radius)
+    docs = numbered(docs)
+    found = near_duplicates(docs.select("_row", "doc_id", "text"), size, radius)
     # Components go by their root: unlinked ones may have the same smallest id, or none.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")).alias("first")
     found = store(found, "components")
-    firsts = found.groupBy("root").agg(first).select("root", F.col("first.row").alias("stays"))
-    return drop_rows(docs, found.join(firsts, "root").where("row <> stays"))
+    firsts = store(found.groupBy("root").agg(first).select("root", F.col("first.row").alias("stays")), "rows-to-keep")
+    gone = found.join(lookup(firsts), "root").where("row <> stays")
+    return drop_rows(docs, gone.select(F.col("row").alias("_row")))

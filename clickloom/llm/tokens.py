@@ -2,10 +2,13 @@
 
 A text's key is the digest of its content with the digest of the tokenizer's file. Where
 the tokenizer takes parts between white space one by one (``Counter.cut``), runs of spaces
-and line feeds become one space first, which changes no count; others see the text as it is. Counts already stored under that key are joined; of the others, each
-different text is encoded once, by the row with the smallest id, and its count appended.
-Only the ids and digests of the misses are shuffled with the texts; a hot text is one
-digest after pre-aggregation.
+and line feeds become one space first, which changes no count; others see the text as it is.
+Counts already stored under that key are joined; of the others, each different text is encoded
+once, whatever ids it stands under, and its count appended.
+
+Texts whose key occurs once and is not stored are encoded where they lie, and that is most of
+them. A bitmap of fixed size picks the others: of these, each task keeps one text per key
+before the shuffle that leaves one in all, so a hot text arrives as one row per task.
 
 Within a worker, a text for such a tokenizer is cut at spaces and line feeds, where no token and no
 normalisation crosses, and the counts of short parts are remembered.
@@ -26,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm.common import Memo
+from clickloom.llm.common import Memo, split_rows
 from clickloom.session import store
 
 CACHE = "tokenizer string, digest string, n_tokens long"
@@ -117,19 +120,21 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str) -> DataF
     else:
         # Counts kept under normalised digests by earlier versions are not taken.
         content, used = text, f"{used}:raw"
-    digest = F.sha2(content.cast("binary"), 256)
-    rid = F.coalesce("doc_id", F.lit(-1)).cast("string")
-    keyed = store(
-        docs.select("doc_id", rid.alias("rid"), F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("digest")),
-        "digests",
-    )
+    digest = F.sha2(content.cast("binary"), 256).alias("digest")
+    # What a text is looked up by in the bitmap: cheaper than the digest, and only a filter.
+    look = F.xxhash64("text").alias("look")
+    keyed = store(docs.select("doc_id", look, F.octet_length(text).cast("long").alias("n_bytes"), digest), "digests")
     known = read_cache(spark, cache_path).where(F.col("tokenizer") == used).select("digest", "n_tokens")
-    misses = keyed.groupBy("digest").agg(F.min("rid").alias("rid")).join(known, "digest", "left_anti")
-    texts = docs.select(rid.alias("rid"), digest.alias("digest"), text.alias("text"))
-    chosen = texts.join(misses.hint("shuffle_hash"), ["rid", "digest"], "left_semi")
-    fresh = chosen.select(
+    groups = store(keyed.groupBy("digest", "look").agg(F.count("*").alias("n")), "digest-counts")
+    shared = groups.groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1").select("digest")
+    shared = store(shared.unionAll(known.select("digest")).distinct(), "digests-to-meet")
+    looks = groups.join(shared, "digest", "left_semi").select("look").distinct()
+    may, alone = split_rows(docs.select(look, "text"), looks, "look")
+    once = may.select(digest, text.alias("text")).dropDuplicates(["digest"]).join(known, "digest", "left_anti")
+    fresh = once.unionAll(alone.select(digest, text.alias("text")))
+    counts = fresh.select(
         F.lit(used).alias("tokenizer"), "digest", token_count(F.col("text"), tokenizer_path).alias("n_tokens")
     )
-    fresh.write.mode("append").parquet(cache_path)
+    counts.write.mode("append").parquet(cache_path)
     stored = read_cache(spark, cache_path).where(F.col("tokenizer") == used).select("digest", "n_tokens")
     return keyed.join(stored, "digest").select("doc_id", "n_bytes", "n_tokens")

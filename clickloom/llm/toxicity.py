@@ -14,14 +14,14 @@ and a linear support vector machine with squared hinge loss is trained on it, wi
 virtual rows for each row of label 1 whose landmarks have a letter put in or doubled. A logistic
 curve turns its margins into scores.
 
-Learning uses a bounded sample: per class, at most ``SAMPLE`` labelled rows with the
-smallest hashes of their ids. The driver gets the landmarks and the sample's vectors, of
-which there are at most 4 x ``SAMPLE`` of ``LANDMARKS`` numbers. Scoring reads each whole text
+Learning uses a bounded sample: per class, at most ``SAMPLE`` labelled texts with the
+smallest hashes of their ids, however often an id stands there. The driver gets the landmarks
+and the sample's vectors, of which there are at most 4 x ``SAMPLE`` of ``LANDMARKS`` numbers. Scoring reads each whole text
 once, on its own; kernel values of words are remembered, within bounds.
 
 Defined results: a null text is an empty one; a text without a landmark's likeness gets the
 score of the empty text. Labels are joined by id; null labels and labels of ids without a
-text are not used, and repeated labels or ids count as often as they stand there. If a
+text are not used; a repeated label counts once, and of a repeated id every text. If a
 class has no row, every score is the share of label 1 (0 without labels). Other columns
 are not looked at.
 """
@@ -222,12 +222,16 @@ def _in_parts(of, texts: pd.Series) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0)
 
 
-def _sample(labels: DataFrame, size: int) -> DataFrame:
+def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
+    """At most ``size`` texts (text, toxic) of each class, whatever repeats."""
     picks = [
-        labels.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size).select("doc_id", "toxic")
-        for k in (0, 1)
+        labels.where(F.col("toxic") == k).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(size) for k in (0, 1)
     ]
-    return store(picks[0].unionAll(picks[1]), "labelled-sample")
+    picked = store(picks[0].unionAll(picks[1]), "labelled-ids")
+    met = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(picked), "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text"]
+    texts = [met.where(F.col("toxic") == k).orderBy(*order).limit(size).select("text", "toxic") for k in (0, 1)]
+    return store(texts[0].unionAll(texts[1]), "labelled-sample")
 
 
 def choose_landmarks(rows: DataFrame, count: int) -> list[bytes]:
@@ -263,8 +267,7 @@ def choose_landmarks(rows: DataFrame, count: int) -> list[bytes]:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
     """A model from the rows of ``labels`` (doc_id, toxic) and the texts of their ids."""
     known = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int"))
-    picks = _sample(known, sample)
-    rows = store(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").select("text", "toxic"), "labelled")
+    rows = _sample(docs, known, sample)
     share = known.agg(F.avg("toxic")).first()[0] or 0.0
     words = choose_landmarks(rows, landmarks)
     found = Landmarks(words)
@@ -276,8 +279,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, landmarks: i
         for batch in batches:
             for change in changes:
                 of = batch[batch["toxic"] == 1] if change else batch
-                x = _in_parts(lambda texts, change=change: found.vectors(texts, change), of["text"])
-                yield pd.DataFrame({"x": x.tolist(), "toxic": of["toxic"].tolist(), "real": change is None})
+                if len(of):
+                    x = _in_parts(lambda texts, change=change: found.vectors(texts, change), of["text"])
+                    yield pd.DataFrame({"x": x.tolist(), "toxic": of["toxic"].tolist(), "real": change is None})
 
     got = rows.mapInPandas(vectors, "x array<double>, toxic int, real boolean").toPandas()
     y = got["toxic"].to_numpy()

@@ -92,3 +92,21 @@ def test_runs():
     assert op.in_run(known, 3).tolist() == [False] * 3 + [True] * 3 + [False] * 2
     assert op.in_run(known, 1).tolist() == known.tolist()
     assert op.in_run(np.array([], bool), 2).tolist() == []
+
+
+def test_proximity_needs_all_postings(spark):
+    docs = documents(spark, ["one two x three four", "one two three four", "four three two one", "one two x y z three four"])
+    items = spark.createDataFrame([(7, "one two three four"), (8, "none of it")], "item_id long, text string")
+    phrases, _ = op.windows(items)
+    with pytest.raises(ValueError, match="runs"):
+        op.Index(docs, phrases).proximity_matches(phrases)
+    got = {r.doc_id: r.near_item_ids for r in op.near_report(docs, items).collect()}
+    assert got == {1: ["7"], 2: ["7"]}
+    assert {r.doc_id for r in op.near_report(docs, items, slack=3).collect()} == {1, 2, 4}
+
+
+def test_of_two_rows_with_one_id_and_equal_rows(spark):
+    leak = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, leak), (1, "clean"), (1, "clean"), (None, leak), (None, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, leak)], "item_id long, text string")
+    assert sorted(map(tuple, op.drop_leaks(docs, items).collect()), key=str) == [(1, "clean"), (1, "clean"), (None, None)]

@@ -62,3 +62,12 @@ def test_the_sample_is_bounded_and_the_same_each_time(spark):
     small = op.learn(labelled(spark), sample_rows=2, size=100)
     assert all(len(x) <= 100 for x in small.values())
     assert small == op.learn(labelled(spark).repartition(3), sample_rows=2, size=100)
+
+
+def test_signs_that_are_no_letters(spark):
+    assert op.letters("½ ²") == op.letters("①② ⅷ") == op.letters("٣ 7_!") == b""
+    assert op.letters("a½b ⅷ Ünï 日本") == "a b ünï 日本".encode()
+    assert not any(c.isalpha() for c in "½²①②ⅷ٣7_")
+    docs = documents(spark, ["½ ²", "①②", "ⅷ", "word"])
+    got = docs.select(op.classify(F.col("text"), {"en": b"word " * 50}).alias("c")).select("c.lang_pred").collect()
+    assert [r[0] for r in got] == ["und", "und", "und", "en"]

@@ -1,3 +1,4 @@
+import random
 from collections import defaultdict
 
 import pytest
@@ -5,6 +6,7 @@ from brute import CLASHES, DOCUMENTS, ODD_TEXTS, documents, rows, sha
 from pyspark.sql import functions as F
 
 from clickloom.llm import lines as op
+from clickloom.llm.common import numbered
 from clickloom.llm.queries import QUERIES
 
 PASSAGE = "\n".join(f"line {i} of a passage that stands in many documents {i * 7}" for i in range(12))
@@ -56,10 +58,50 @@ def test_a_shifted_passage_goes_from_all_but_the_first(spark):
     texts = [f"own line {i} a\n" * (i % 4) + PASSAGE + f"\nlast {i}" for i in range(40)]
     got = result(op.dedup_lines(documents(spark, texts)))
     assert got[1][2] == 0
-    assert all(8 <= got[i][2] <= 12 for i in range(2, 41))
+    assert all(got[i][2] == 12 for i in range(2, 41))
     assert all(f"last {i - 1}" in got[i][0] for i in got)
 
 
+@pytest.mark.parametrize("length", [2, 3, 4, 6, 10])
+def test_repeated_passages_of_any_length_go_whole(spark, length):
+    """Passages of some lines in two documents each, between lines of their own."""
+    made, texts, inside = random.Random(length), [], []
+    passages = [[f"p{p} l{k} " + " ".join(f"w{made.randrange(10**6)}" for _ in range(28)) for k in range(length)] for p in range(40)]
+    for copy in range(2):
+        for p, passage in enumerate(passages):
+            own = [[f"own {copy} {p} {end} {k} and some more words" for k in range(made.randrange(4))] for end in "ab"]
+            texts.append("\n".join(own[0] + passage + own[1]))
+            inside.append((copy * length, len(own[0]) + len(own[1])))
+    got = result(op.dedup_lines(documents(spark, texts)))
+    assert [(got[i + 1][2], got[i + 1][1] - length) for i in range(len(texts))] == inside
+
+
+def test_what_goes_repeats_an_earlier_line_and_pairs_of_lines_do_not_stay_twice(spark, sf_dir, table_rows):
+    """Told by plain code that knows no chunks: bounds from below and from above."""
+    texts = dict(table_rows("documents")[["doc_id", "text"]].values)
+    got = result(op.dedup_lines(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    removed, seen_lines, seen_pairs = 0, set(), set()
+    for i in sorted(texts):
+        every, left = texts[i].split("\n"), got[i][0].split("\n") if got[i][0] else []
+        # Lines that went, by walking through both texts from the front.
+        rest, gone = iter(left), set()
+        after = next(rest, None)
+        for k, line in enumerate(every):
+            if line == after and len(every) - k > 0:
+                after = next(rest, None)
+            else:
+                gone.add(k)
+        removed += len(gone)
+        assert all(every[k] in seen_lines or every[k] in every[:k] for k in gone)
+        pairs = [tuple(every[k : k + 2]) for k in range(len(every) - 1)]
+        whole = [p for p in pairs if all(x.split() for x in p) and sum(len(x.split()) for x in p) >= op.MIN_WORDS]
+        if len(gone) == 0:
+            assert not [p for p in whole if p in seen_pairs]
+        seen_lines.update(every)
+        seen_pairs.update(whole)
+    assert removed > 0
+
+
 def test_few_words_and_single_lines_stay(spark):
     texts = ["x\ny\nz", "x\ny\nz", "one long line of some fifteen words " * 3, "one long line of some fifteen words " * 3]
     assert all(removed == 0 for _, _, removed in result(op.dedup_lines(documents(spark, texts))).values())
@@ -70,15 +112,18 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     got = {r.doc_id: r._lines.n_removed for r in op.dedup_lines(docs).collect()}
     assert got[2] == 0 and got[3] >= 8 and got[None] >= 8
     same = documents(spark, [PASSAGE, PASSAGE]).withColumn("doc_id", F.lit(5).cast("long"))
-    assert rows(op.dedup_lines(same), "_lines.n_removed") == [(0,), (0,)]
+    assert rows(op.dedup_lines(same), "_lines.n_removed") == [(0,), (12,)]
+    unnamed = same.withColumn("doc_id", F.lit(None).cast("long"))
+    assert rows(op.dedup_lines(unnamed), "_lines.n_removed") == [(0,), (12,)]
     assert op.dedup_lines(docs.where("false")).collect() == []
 
 
 def test_equal_digests_of_other_bytes_are_kept(spark, monkeypatch):
-    made = op.chunk_digests(documents(spark, [PASSAGE, PASSAGE.replace("line", "LINE")]))
+    docs = numbered(documents(spark, [PASSAGE, PASSAGE.replace("line", "LINE")]))
+    made = op.chunk_digests(docs)
     forced = made.withColumn("digest", F.lit(b"0"))
     monkeypatch.setattr(op, "chunk_digests", lambda docs: forced)
-    spans = op.repeated_spans(documents(spark, [PASSAGE, PASSAGE.replace("line", "LINE")]))
+    spans = op.repeated_spans(docs)
     assert spans.count() == 0
 
 

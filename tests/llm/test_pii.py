@@ -101,6 +101,14 @@ def test_secrets_are_added_and_plain_words_are_not(spark):
     assert not any(out[i] for i in range(31, 91))
 
 
+def test_candidates_have_no_greatest_length(spark):
+    key = "sk_" + "0b96a8c8d79c4a5085c919698889f59b72ab7b01" * 20
+    texts = [f"the token = {key} of", f"mail {'a' * 300} (at) example (dot) com", "+".join(["call"]) + " 0" + "-1" * 60]
+    found = op.spans_of(documents(spark, texts)).select("doc_id", F.explode("candidates").alias("c")).select("doc_id", "c.*")
+    lengths = {(r.doc_id, r.form): r.end - r.start for r in found.collect() if r.form != "key" or r.doc_id == 1}
+    assert lengths == {(1, "key"): len(key), (2, "address"): 300 + len(" (at) example (dot) com"), (3, "number"): 121}
+
+
 def test_estimated_reliabilities_follow_the_votes(spark):
     columns = ["kind", *op.LABELERS]
     agree = [("card", 1, 1, 1, 1, -1)] * 50 + [("card", 0, 0, 0, -1, 0)] * 200

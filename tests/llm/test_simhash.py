@@ -48,7 +48,15 @@ def test_empty_table_and_null_ids(spark):
     assert kept.columns == docs.columns
     assert rows(kept, "doc_id") == [(2,)]
     unnamed = docs.withColumn("doc_id", F.lit(None).cast("long")).withColumn("text", F.concat("text", F.lit("!")))
-    assert rows(op.keep_one(unnamed.unionAll(docs.where("false"))), "doc_id") == [(None,)] * 3
+    assert rows(op.keep_one(unnamed.unionAll(docs.where("false"))), "doc_id") == [(None,)]
+
+
+@pytest.mark.parametrize("doc_id", [1, None])
+def test_of_rows_equal_in_everything_one_stays(spark, doc_id):
+    schema = "doc_id long, text string"
+    copies = [(doc_id, "the same text in three rows")] * 3 + [(2, " ".join(f"w{i}" for i in range(50)))]
+    kept = op.keep_one(spark.createDataFrame(copies, schema).repartition(3))
+    assert rows(kept) == sorted({*copies}, key=str)
 
 
 def test_keep_one_goes_by_component_not_by_id(spark):

@@ -73,6 +73,31 @@ def test_repeated_and_null_ids_and_empty_table(spark):
     assert op.count_tokens(docs.where("false"), PATH, new_shared_dir(spark, "cache")).collect() == []
 
 
+def test_each_text_is_encoded_once_whatever_its_ids(spark):
+    rows = [(None, "one two")] * 50 + [(5, "three")] * 50 + [(5, "one  two"), (6, "alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    cache = new_shared_dir(spark, "cache")
+    got = op.count_tokens(docs, PATH, cache)
+    assert got.count() == 102 and got.where("n_tokens = 2").count() == 51
+    assert spark.read.parquet(cache).count() == 3
+    # Of these only the new one is encoded.
+    more = spark.createDataFrame([(1, "three"), (2, "new"), (3, "new"), (4, "newer")], "doc_id long, text string")
+    assert op.count_tokens(more, PATH, cache).count() == 4
+    assert spark.read.parquet(cache).count() == 5
+
+
+def test_texts_that_stand_alone_are_not_shuffled(spark, tmp_path, monkeypatch):
+    spark.range(500).selectExpr("id as doc_id", "concat('text ', id div 2 * if(id < 20, 1, 2) + id % 2 * if(id < 20, 0, 1)) as text").write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    seen = []
+    split = op.split_rows
+    monkeypatch.setattr(op, "split_rows", lambda *more: seen.append(split(*more)) or seen[-1])
+    assert op.count_tokens(docs, PATH, str(tmp_path / "cache")).count() == 500
+    may, alone = seen[0]
+    assert "Exchange hashpartitioning" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert alone.count() > 400 and may.count() + alone.count() == 500
+
+
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json"])
 def test_other_tokenizers(name):
     path = public_tokenizers.path(name)

@@ -104,6 +104,36 @@ def test_one_class_or_no_labels(spark):
     assert ones.scores(["a"])[0] > 0.99
 
 
+def test_files_with_one_label_each(spark, tmp_path, monkeypatch):
+    """A task may have no row of label 1."""
+    kept = op.store
+
+    def by_label(df, name):
+        if name != "labelled-sample":
+            return kept(df, name)
+        df.repartition(1).write.partitionBy("toxic").parquet(str(tmp_path / "sample"))
+        return spark.read.parquet(str(tmp_path / "sample")).select("text", "toxic")
+
+    monkeypatch.setattr(op, "store", by_label)
+    rows = corpus(spark)
+    model = op.learn(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"))
+    clean, insult = model.scores(["that was not for them", "that was a blockhead"])
+    assert clean < 0.5 < 0.7 < insult
+
+
+def test_a_repeated_id_does_not_widen_the_sample(spark, monkeypatch):
+    sizes = {}
+    kept = op.store
+    monkeypatch.setattr(op, "store", lambda df, name: sizes.setdefault(name, kept(df, name)))
+    rows = corpus(spark)
+    many = spark.range(100_000).selectExpr("0L as doc_id", "concat('that was a blockhead ', id % 7) as text")
+    docs = rows.select("doc_id", "text").unionAll(many)
+    labels = rows.select("doc_id", "toxic").unionAll(spark.range(3000).selectExpr("0L", "1"))
+    model = op.learn(docs, labels, sample=200)
+    assert sizes["labelled-sample"].count() <= 400
+    assert model.scores(["that was a blockhead"])[0] > 0.5
+
+
 def test_the_machine_separates_what_can_be_separated():
     x = np.array([[0.0, 1], [0.1, 1.2], [1, 0], [1.3, 0.1]])
     y = np.array([1, 1, 0, 0])
