@@ -5,7 +5,16 @@ inline tags belong to the block they are in. For each path of a page, text lengt
 punctuation, linked text and the number of blocks are added up; the ratio of a path is its
 unlinked text per block, weighed by its punctuation per block. Ratios are smoothed over the
 paths of one container, fused with the path's own, and paths below ``KEEP`` of the best are
-dropped. Parts that name themselves as something else (tags, roles and class names of menus,
+dropped.
+
+The containers are where the page's text is: the ratios, times text, are added up from the
+leaves to the root, and from the root on the way goes to the child that has most of it as long
+as that is ``HOLD`` of the page's. The element where this ends holds the main text, and all its
+paths are one container, so that its lists, tables and short paragraphs stay with the long
+ones. Other paths are smoothed over their parent, and must reach ``KEEP_OUTSIDE`` of the best.
+A block of links alone, other than a paragraph or heading, has a path of its own, without ratio.
+
+Parts that name themselves as something else (tags, roles and class names of menus,
 adverts, forms, comments and the like) do not take part; a page with an ``article`` or
 ``main`` that has text is judged within it.
 
@@ -34,6 +43,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KEEP = 0.35
+KEEP_OUTSIDE = 0.6
+# The share of a page's weight that the element of the main text has.
+HOLD = 0.6
 # Element names of the HTML standard by kind, and names of parts of pages.
 RAW = "script style noscript template iframe textarea title xmp noembed noframes"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,6 +80,7 @@ ADDED = set(
 HEADER_NAMES = {"header", "head", "topbar", "masthead"}
 ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 CONTENT = {"article", "main"}
+TEXTUAL = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？；：]")
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW.replace(' ', '|')})(?=[\s/>])[^>]*+(?:>.*?(?:</(?P=raw)\s*+>|\Z)|\Z)"
@@ -144,6 +157,8 @@ class Blocks:
         content = " ".join(html.unescape("".join(self.parts)).split())
         if content:
             path = "/".join([x[0] for x in self.open])
+            if self.linked * 10 >= 9 * len(content) and not (self.open and self.open[-1][0] in TEXTUAL):
+                path += "/a"
             _, _, in_content, part = self.open[-1] if self.open else ("", False, False, -1)
             self.found.append((path, content, min(self.linked, len(content)), in_content, part))
         self.parts, self.linked, self.in_link = [], 0, False
@@ -177,31 +192,49 @@ class Blocks:
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in ended:
                 del self.open[i:]
-            elif self.open[i][0] not in ("p", "h1", "h2", "h3", "h4", "h5", "h6"):
+            elif self.open[i][0] not in TEXTUAL:
                 break
 
 
-def container(path: str) -> str:
-    """What a path is smoothed over: its innermost article, or else its parent."""
-    names = path.split("/")
-    last = max((i for i, x in enumerate(names) if x in CONTENT), default=len(names) - 2)
-    return "/".join(names[: last + 1])
+def main_element(weights: dict[str, float]) -> str:
+    """The path of the innermost element that has ``HOLD`` of the weight, given by path."""
+    below: dict[str, dict[str, float]] = defaultdict(lambda: defaultdict(float))
+    for path, weight in weights.items():
+        names = path.split("/")
+        for i in range(len(names) - 1):
+            below["/".join(names[:i])]["/".join(names[: i + 1])] += weight
+    least, at = HOLD * sum(weights.values()), ""
+    while below[at]:
+        child = max(below[at], key=below[at].get)
+        if below[at][child] < least:
+            break
+        at = child
+    return at
 
 
-def path_ratios(blocks) -> dict[str, float]:
-    """The fused ratio of each path."""
+def kept_paths(blocks) -> set[str]:
+    """The paths whose fused ratio is high enough."""
     sums = defaultdict(lambda: [0, 0, 0, 0])
     for path, content, linked, *_ in blocks:
         total = sums[path]
         for i, x in enumerate((len(content), len(PUNCTUATION.findall(content)), linked, 1)):
             total[i] += x
     own = {p: log1p((n - linked) / k) * (1 + log1p(marks / k)) for p, (n, marks, linked, k) in sums.items()}
+    main = main_element({p: ratio * (sums[p][0] - sums[p][2]) for p, ratio in own.items()})
+
+    def container(path: str) -> str:
+        return main if not main or path.startswith(main + "/") else path.rpartition("/")[0]
+
     weights, totals = defaultdict(float), defaultdict(int)
     for p, ratio in own.items():
         weights[container(p)] += ratio * sums[p][0]
         totals[container(p)] += sums[p][0]
     smooth = {c: w / totals[c] for c, w in weights.items()}
-    return {p: (ratio + smooth[container(p)]) / 2 for p, ratio in own.items()}
+    fused = {p: (ratio + smooth[container(p)]) / 2 for p, ratio in own.items() if ratio}
+    best = max(fused.values(), default=0.0)
+    least = {p: (KEEP if container(p) == main else KEEP_OUTSIDE) * best for p in fused}
+    # Without any unlinked text nothing but what has no ratio at all could be kept.
+    return {p for p, ratio in fused.items() if ratio >= least[p]}
 
 
 def taking_part(page: Blocks) -> list[tuple]:
@@ -234,11 +267,8 @@ def main_text(page: str | None) -> str:
     blocks = taking_part(Blocks(page or ""))
     if any(x[3] for x in blocks):
         blocks = [x for x in blocks if x[3]]
-    ratios = path_ratios(blocks)
-    least = KEEP * max(ratios.values(), default=0)
-    # A path of links alone is a menu even where nothing better is found.
-    kept = [content for path, content, linked, *_ in blocks if ratios[path] >= least and (ratios[path] > 0 or not linked)]
-    return " ".join(kept)
+    paths = kept_paths(blocks)
+    return " ".join([content for path, content, *_ in blocks if path in paths])
 
 
 def extract(page: Column) -> Column:

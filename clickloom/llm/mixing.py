@@ -111,7 +111,7 @@ def curriculum(
     for epoch in range(most):
         at = begin + F.col("source_size") * epoch
         words = F.greatest(F.lit(0), F.least(F.col("size"), asked - at)).cast("long")
-        met = [moment(s, at / F.col("target")) for s in schedules]
+        met = [moment(s, F.try_divide(at, F.col("target"))) for s in schedules]
         position = F.element_at(F.array(*met), ((F.col("place") - 1) % len(schedules) + 1).cast("int"))
         occurrences.append(F.struct(F.lit(epoch).alias("epoch"), position.alias("position"), words.alias("words")))
     taken = F.filter(F.array(*occurrences), lambda x: x["words"] > 0).alias("occurrences")

@@ -110,3 +110,39 @@ def test_odd_rows(spark):
     got = pages.select("page_id", op.extract("html").alias("t")).collect()
     assert sorted((r.page_id or 0, r.t) for r in got) == [(0, TEXT), (1, ""), (1, ""), (2, "")]
     assert pages.where("false").select(op.extract("html")).collect() == []
+
+
+LINE = "Mix the flour with water and salt, slowly; leave it for a night, then bake it for an hour, not more."
+RECIPE = f"""<body><div><ul><li><a href=x>Home</a><li><a href=y>About us</a></ul></div>
+<div><div><h1>Bread</h1><p>{LINE}</p><ul><li>Flour</li><li>Salt</li></ul><p>Short.</p><div><p>{LINE}</p></div>
+<table><tr><td>Time</td><td>2 h</td></tr></table><p><a href=z>By hand</a></p></div></div>
+<div>Buy now and save</div><div><div>Write to us.</div></div></body>"""
+
+
+def test_a_page_without_telling_names_keeps_all_of_its_main_element():
+    want = f"Bread {LINE} Flour Salt Short. {LINE} Time 2 h By hand"
+    assert op.main_text(RECIPE) == want
+
+
+def test_the_ratios_decide_where_names_do_not(monkeypatch):
+    want = op.main_text(RECIPE)
+    monkeypatch.setattr(op, "kept_paths", lambda blocks: {b[0] for b in blocks})
+    spoiled = op.main_text(RECIPE)
+    assert spoiled != want and "Home" in spoiled and "Buy now" in spoiled
+
+
+def test_ratios_alone_find_most_articles_of_the_test_pages(table_rows):
+    """Without the names of parts and the article's own element, from the paths only."""
+    pages = table_rows("pages").html
+    found = 0
+    for page in pages:
+        blocks = [(path, content, linked, False, -1) for path, content, linked, *_ in op.Blocks(page).found]
+        paths = op.kept_paths(blocks)
+        found += " ".join([b[1] for b in blocks if b[0] in paths]) == op.main_text(page)
+    assert found > 0.6 * len(pages)
+
+
+def test_main_element():
+    assert op.main_element({}) == "" and op.main_element({"": 3.0}) == ""
+    assert op.main_element({"a/b/p": 5.0, "a/b/ul/li": 3.0, "a/c/p": 1.0}) == "a/b"
+    assert op.main_element({"a/b/p": 1.0, "a/c/p": 1.0}) == "a"

@@ -1,0 +1,100 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from brute import CLASHES, DOCUMENTS, ODD_TEXTS, documents, rows
+from compare import compare, sql_engine
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from clickloom.llm import resample as op
+from clickloom.llm.oracle import ORACLE_SQL
+from clickloom.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [(m.group(), m.span()) for m in WORD.finditer(lowered)]
+
+
+def buckets(text):
+    found = [w for w, _ in words(text)]
+    runs = [" ".join(found[i : i + k]) for k in (1, 2, 3) for i in range(len(found) - k + 1)]
+    return Counter(zlib.crc32(x.encode()) % 10_000 for x in runs)
+
+
+def brute(docs, target, percent=5):
+    """Rows (doc_id, text) to a multiset of (doc_id, n_features, weight, score, rank)."""
+    s, t = Counter(), Counter()
+    for _, text in docs:
+        s.update(buckets(text))
+    for text in target:
+        t.update(buckets(text))
+    ss, tt = s.total(), t.total()
+    gain = [math.floor(1000 * math.log((t[b] + 1.0) * (ss + 10000.0) / ((s[b] + 1.0) * (tt + 10000.0)))) for b in range(10_000)]
+    scored = []
+    for doc_id, text in docs:
+        found = buckets(text)
+        weight = sum(gain[b] * n for b, n in found.items())
+        h = int(hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((len(words(text)), doc_id, found.total(), weight, score))
+    may = sorted((x for x in scored if x[0] >= 20), key=lambda x: (-x[4], x[1] is None, x[1] or 0, x[2]))
+    draws = len(may) * percent // 100
+    out = [(*x[1:], i + 1 if i < draws else None) for i, x in enumerate(may)]
+    return Counter(out + [(*x[1:], None) for x in scored if x[0] < 20])
+
+
+def result(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_query_matches_sql(spark, sf_dir):
+    found = compare(spark, sql_engine(sf_dir), QUERIES["op11_resampling"], ORACLE_SQL["op11_resampling"], sf_dir)
+    assert found["values_match"] and found["types_match"], found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=60), st.text("aB1 \t\n-É日😀\x00\x7f{[", max_size=60)))
+def test_words_offsets_and_buckets(text):
+    assert op.words_with_offsets(text) == words(text)
+    n, found = op.features(text)
+    assert n == len(words(text)) and Counter(found.tolist()) == buckets(text)
+
+
+@pytest.mark.parametrize("schema", [DOCUMENTS, CLASHES])
+def test_odd_rows_against_plain_loops(spark, schema):
+    texts = ODD_TEXTS + [f"the {i} of and {i % 7} " * (4 + i % 5) for i in range(80)]
+    docs = documents(spark, texts, schema=schema)
+    docs = docs.withColumn("doc_id", F.expr("case when doc_id % 9 = 0 then null when doc_id % 5 = 0 then 5 else doc_id end"))
+    docs = docs.unionAll(docs.where("doc_id = 5"))
+    items = ["the 3 of and", None, "", "not in it", "the 3 of and"]
+    target = spark.createDataFrame([(i, x, "t") for i, x in enumerate(items)], "item_id long, text string, features string")
+    want = brute([tuple(r) for r in docs.select("doc_id", "text").collect()], items, 20)
+    got = op.resample(docs, target, percent=20)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert result(got) == want
+    assert max(r[-1] or 0 for r in want) > 10
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, ["a b c " * 10] * 40)
+    target = spark.createDataFrame([], "item_id long, text string")
+    got = op.resample(docs, target)
+    assert result(got) == brute([tuple(r) for r in docs.select("doc_id", "text").collect()], [])
+    assert sorted(r.rank for r in got.collect() if r.rank) == [1, 2]
+    assert op.resample(docs.where("false"), target).collect() == []
+
+
+def test_a_hot_score_is_ranked_over_many_ranges(spark):
+    """Rows alike in everything: their ranks are all there, once."""
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "repeat('one two ', 10) as text")
+    got = op.resample(docs, docs.limit(1), percent=60)
+    ranks = [r for (r,) in rows(got.where("rank is not null"), "rank")]
+    assert ranks == sorted(range(1, 1801), key=str)
