@@ -31,9 +31,14 @@ def seconds(query, spark, sf_dir: str) -> float:
     return time.perf_counter() - start
 
 
-def batch_seconds(spark, root: str, batches: int = 50) -> dict[str, float]:
-    """Seconds of the second and the last of many small micro-batches of one day."""
+def batch_seconds(spark, root: str, batches: int = 50, counters: int = 1_000_000) -> dict[str, float]:
+    """Seconds of the second and the last of many small micro-batches of one day that has
+    ``counters`` counters of users and ads."""
     pipeline = AdsPipeline(root, threshold=10**6)
+    day = spark.range(counters).selectExpr(
+        f"concat({1_700_000_000_000}, ' N c', id % 1000, ' v', id div 6, ' ', id % 6) as value"
+    )
+    pipeline.process(day, 0)
     timings = {}
     for number in range(1, batches + 1):
         clicks = spark.range(200).selectExpr(
@@ -42,6 +47,7 @@ def batch_seconds(spark, root: str, batches: int = 50) -> dict[str, float]:
         start = time.perf_counter()
         pipeline.process(clicks, number)
         timings[str(number)] = round(time.perf_counter() - start, 3)
+    pipeline.close()
     return {number: timings[number] for number in ("2", str(batches))}
 
 

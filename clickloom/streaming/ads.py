@@ -32,7 +32,8 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -65,6 +66,7 @@ class AdsPipeline:
     # The time of a batch in milliseconds.
     batch_time: Callable[[], int] = lambda: time.time_ns() // 1_000_000
     _counters: Counters | None = field(default=None, init=False, repr=False)
+    _held: bool = field(default=False, init=False, repr=False)
 
     def __post_init__(self):
         ads.check_window(self.window_minutes)
@@ -94,6 +96,17 @@ class AdsPipeline:
         except Exception:  # the caller gets it from the query itself
             pass
         finally:
+            if not self._held:
+                self.close()
+
+    @contextmanager
+    def hold(self) -> Iterator[None]:
+        """Keep the counting query running over queries that start and end within."""
+        self._held = True
+        try:
+            yield
+        finally:
+            self._held = False
             self.close()
 
     def close(self) -> None:
@@ -190,7 +203,8 @@ class AdsPipeline:
             aside = malformed.select("value", F.lit("malformed").alias("reason")).unionAll(
                 future.select("value", F.lit("future").alias("reason"))
             )
-            for name, rows in (("quarantine", aside), ("late", logs.where(F.col("date") < expired))):
+            late = [("late", logs.where(F.col("date") < expired))] if expired else []
+            for name, rows in [("quarantine", aside), *late]:
                 if not rows.isEmpty():
                     rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
             tables = self._tables(spark)

@@ -16,13 +16,15 @@ With ``retain_days`` a watermark on the dates removes the counters of dates give
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators import ads
-from clickloom.operators.joins import FILTER_BITS, filter_slot
+from clickloom.operators.joins import key_bits
 from clickloom.streaming.state import ChangeLog, Folder
 
 CLICK = "timestamp long, area string, city string, userid string, adid string, date string"
@@ -101,7 +103,7 @@ class Counters:
             .writeStream.outputMode("update")
             .foreachBatch(self.publish)
             .option("checkpointLocation", f"{self.root}/counters")
-            .trigger(processingTime="250 milliseconds")
+            .trigger(processingTime="100 milliseconds")
             .start()
         )
 
@@ -109,28 +111,33 @@ class Counters:
         """Publish the changed counters under the number of the batch that changed them."""
         changed = changed.select(_date("day"), "kind", "first", "second", "adid", "clicks", "batch")
         changed.persist(StorageLevel.MEMORY_AND_DISK)
+        reached = (F.col("kind") == USER) & (F.col("clicks") >= self.threshold)
         try:
-            batch = changed.agg(F.max("batch")).first()[0]
+            seen = changed.agg(F.max("batch").alias("batch"), F.count_if(reached).alias("reached")).first()
+            batch = seen.batch
             if batch is None:
                 return
-            reached = changed.where((F.col("kind") == USER) & (F.col("clicks") >= self.threshold))
-            listed = reached.select(F.col("first").alias("userid")).distinct()
-            self.blacklist.write(listed.withColumn("listed_batch", F.lit(batch).cast("long")), batch)
-            self._mark_bits(batch)
-            cities = changed.where(F.col("kind") == CITY)
-            self.city_ads.write(cities.select("date", F.col("first").alias("area"), F.col("second").alias("city"), "adid", "clicks"), batch)
+            cities = changed.where(F.col("kind") == CITY).select(
+                "date", F.col("first").alias("area"), F.col("second").alias("city"), "adid", "clicks"
+            )
             areas = changed.where(F.col("kind") == AREA).select("date", F.col("first").alias("area"), "adid", "clicks")
-            self._rank(areas, batch)
+            steps = [lambda: self.city_ads.write(cities, batch), lambda: self._rank(areas, batch)]
+            if seen.reached:
+                listed = changed.where(reached).select(F.col("first").alias("userid")).distinct()
+                steps.append(lambda: self._list(listed, batch))
+            # Small outputs that do not read each other. Their jobs belong to the query's job
+            # group, so that stopping it stops them.
+            with ThreadPoolExecutor(len(steps)) as pool:
+                done = [pool.submit(inheritable_thread_target(changed.sparkSession)(step)) for step in steps]
+            for output in done:
+                output.result()
         finally:
             changed.unpersist()
 
-    def _mark_bits(self, batch: int) -> None:
-        """Set the bits of the users listed in this batch; see ``operators.joins``."""
-        bit = filter_slot(F.col("userid"), FILTER_BITS)
-        fresh = self.blacklist.read(batch).where(F.col("listed_batch") == batch)
-        marks = fresh.groupBy(F.bitmap_bucket_number(bit).alias("slot")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-        )
+    def _list(self, users: DataFrame, batch: int) -> None:
+        """Put users on the blacklist and set their bits; see ``operators.joins``."""
+        self.blacklist.write(users.withColumn("listed_batch", F.lit(batch).cast("long")), batch)
+        marks = key_bits(users, "userid")
         known = self.listed_bits.read(batch - 1).join(marks.select("slot"), "slot", "left_semi")
         both = known.unionByName(marks).groupBy("slot").agg(F.bitmap_or_agg("bits").alias("bits"))
         self.listed_bits.write(both, batch)

@@ -1,5 +1,7 @@
 """Drives a streaming job over stored lines, one micro-batch per ``batch_id``."""
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame, SparkSession
 
 from clickloom.sources.streams import text_lines
@@ -17,9 +19,10 @@ def replay(spark: SparkSession, lines: DataFrame, pipeline, source: str) -> None
     dealt = f"{source}-by-batch"
     lines.select("batch_id", "value").hint("rebalance", "batch_id").write.partitionBy("batch_id").text(dealt)
     names = [x for x in Folder(spark, dealt).names() if x.startswith("batch_id=")]
-    for name in sorted(names, key=lambda x: int(x.removeprefix("batch_id="))):
-        text_lines_of(spark, f"{dealt}/{name}").write.mode("append").text(source)
-        pipeline.start(text_lines(spark, source), availableNow=True).awaitTermination()
+    with pipeline.hold() if hasattr(pipeline, "hold") else nullcontext():
+        for name in sorted(names, key=lambda x: int(x.removeprefix("batch_id="))):
+            text_lines_of(spark, f"{dealt}/{name}").write.mode("append").text(source)
+            pipeline.start(text_lines(spark, source), availableNow=True).awaitTermination()
 
 
 def text_lines_of(spark: SparkSession, path: str) -> DataFrame:
