@@ -5,6 +5,7 @@ import tempfile
 from pathlib import Path
 
 import clickloom
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,12 +36,31 @@ def sha256(text: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a number of its own for every row.
+    """``docs`` with ``_row``, a key of its own (binary) for every row, the same wherever and
+    however often the rows are read; rows that are equal in everything are still two.
 
-    The rows are written out with it, so that each keeps its number wherever and however
-    often they are read, and rows that are equal in everything are still two.
+    A row of a Parquet table is named by the MD5 digest of its file and its place in it. Other
+    rows are numbered and written out with their numbers.
     """
-    return store(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    if _is_plain_scan(docs):
+        place = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index").cast("string"))
+        return docs.select("*", F.unhex(F.md5(place.cast("binary"))).alias("_row"))
+    number = F.unhex(F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0"))
+    return store(docs.withColumn("_row", number), "numbered")
+
+
+def _is_plain_scan(docs: DataFrame) -> bool:
+    """Whether the rows are those of a Parquet table, each at most once."""
+    node = docs._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    if node.nodeName() != "LogicalRelation" or {"_metadata", "_row"} & set(docs.columns):
+        return False
+    # A projection may hide the files' columns: then there is no naming a row by its place.
+    try:
+        return node.toString().rstrip().endswith("parquet") and bool(docs.select("_metadata.row_index").columns)
+    except AnalysisException:
+        return False
 
 
 def split_rows(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

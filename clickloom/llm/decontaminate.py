@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm.common import drop_rows, numbered, sha256
 from clickloom.session import store
@@ -35,7 +36,7 @@ from clickloom.session import store
 WINDOW = 10
 MAX_TERMS = 500_000
 _BLANK = bytes(c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
-POSTINGS = "row long, doc_id long, n_words long, postings array<struct<term:string,at:array<int>>>"
+POSTINGS = "row long, doc_id {}, n_words long, postings array<struct<term:string,at:array<int>>>"
 
 
 def words(text: str | None) -> list[bytes]:
@@ -101,12 +102,12 @@ def post(docs: DataFrame, vocabulary: dict[str, list[int]] | None, runs: bool) -
                 for i in keep:
                     at.setdefault(found[i], []).append(i)
                 lists.append([{"term": t.decode(), "at": places} for t, places in at.items()])
-            yield pd.DataFrame(
-                {"row": batch["row"], "doc_id": batch["doc_id"], "n_words": counts, "postings": lists}
-            ).astype({"doc_id": "Int64"})
+            ids = batch["doc_id"].astype("Int64") if kind == "bigint" else batch["doc_id"]
+            yield pd.DataFrame({"row": batch["row"], "doc_id": ids, "n_words": counts, "postings": lists})
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    return numbered.mapInPandas(place, POSTINGS)
+    kind = "binary" if docs.schema["doc_id"].dataType == T.BinaryType() else "bigint"
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast(kind), "text")
+    return rows.mapInPandas(place, POSTINGS.format(kind))
 
 
 class Index:

@@ -36,7 +36,7 @@ MIN_WORDS = 10
 _STEP = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(33)
-CHUNK = "row long, doc_id long, start int, n int, digest binary"
+CHUNK = "row binary, doc_id long, start int, n int, digest binary"
 
 
 def boundaries(lines: list[str], chunkings: int = CHUNKINGS, divisor: int = DIVISOR) -> list[np.ndarray]:

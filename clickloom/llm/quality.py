@@ -49,7 +49,7 @@ def _left(text: Column, drop: str) -> Column:
 
 
 def base_counts(docs: DataFrame, window: int = 5) -> DataFrame:
-    """doc_id, lang, source, row (its number, own or ``_row``), the base counts, n_lines, n_upper, n_punct."""
+    """doc_id, lang, source, row (its key, own or ``_row``), the base counts, n_lines, n_upper, n_punct."""
     text = F.coalesce(F.col("text"), F.lit(""))
     split = docs.select(
         "doc_id",

@@ -169,7 +169,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, radius: int = 4, block: int = 2048) -> DataFrame:
-    """doc_id, row (its number, own or ``_row``), fp, root (the smallest print reachable) and component_id (the
+    """doc_id, row (its key, own or ``_row``), fp, root (the smallest print reachable) and component_id (the
     smallest doc_id reachable) of every row of ``docs``."""
     prints = fingerprint(F.col("text"), size).alias("fp")
     row = F.col("_row") if "_row" in docs.columns else F.monotonically_increasing_id()
@@ -188,7 +188,7 @@ def keep_one(docs: DataFrame, size: int = 4, radius: int = 4) -> DataFrame:
     """The documents less all but one of each component; every column is kept.
 
     The one that stays has the component's smallest id; of several rows with that id, or
-    without any, the one with the smallest row number. So of equal rows one stays as well.
+    without any, the one with the smallest row key. So of equal rows one stays as well.
     """
     docs = numbered(docs)
     found = near_duplicates(docs.select("_row", "doc_id", "text"), size, radius)

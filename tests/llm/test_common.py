@@ -1,0 +1,45 @@
+from brute import CLASHES, documents, rows
+from pyspark.sql import functions as F
+
+from clickloom.llm import common as op
+
+
+def test_rows_of_files_are_named_by_their_place_without_a_copy(spark, tmp_path, monkeypatch):
+    data = spark.createDataFrame([(1, "a")] * 50 + [(None, None)] * 50, "doc_id long, text string").repartition(4)
+    data.write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    monkeypatch.setattr(op, "store", lambda *_: 1 / 0)
+    for frame, n in ((docs, 100), (docs.where("doc_id = 1"), 50), (docs.select("text"), 100)):
+        named = op.numbered(frame)
+        assert named.columns == [*frame.columns, "_row"] and named.schema["_row"].dataType.typeName() == "binary"
+        assert named.select("_row").distinct().count() == n == named.count()
+    # The same key whatever else is read, and in however many tasks.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    try:
+        again = op.numbered(docs.select("doc_id"))
+        assert rows(again.groupBy("doc_id").agg(F.bit_xor(F.xxhash64("_row")))) == rows(
+            op.numbered(docs).groupBy("doc_id").agg(F.bit_xor(F.xxhash64("_row")))
+        )
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_other_rows_are_written_out_with_their_numbers(spark, tmp_path):
+    made = documents(spark, ["a", "a", None], schema=CLASHES)
+    made.write.parquet(str(tmp_path / "d"))
+    stored = spark.read.parquet(str(tmp_path / "d"))
+    joined = stored.join(spark.range(2).withColumnRenamed("id", "k"))
+    for frame, n in ((made, 3), (stored.unionAll(stored), 6), (joined, 6), (stored.withColumn("x", F.explode(F.array(F.lit(1), F.lit(2)))), 6)):
+        named = op.numbered(frame)
+        assert named.select("_row").distinct().count() == n
+        left = op.drop_rows(named, named.orderBy("_row").limit(1))
+        assert left.columns == frame.columns and left.count() == n - 1
+
+
+def test_recent_keeps_what_is_used():
+    memory = op.Recent(20, lambda k, v: 1)
+    for i in range(100):
+        memory.keep(i, str(i))
+        assert memory.get(0) == "0"
+    assert memory.get(99) == "99" and memory.get(50) is None
+    assert len(memory.young) + len(memory.old) <= 20
