@@ -12,7 +12,8 @@ id, then row number, then place) and removed if equal; the first occurrence stay
 Only hashes of chunks are shuffled at first. Then the texts that have repeated chunks, found
 by a filter of fixed size, meet them by a join on the row; what leaves that join is the text
 of repeated chunks only. All other texts stay where they are. A chunk that very
-many documents have is one row per occurrence; nothing gathers them.
+many documents have is one row per occurrence; nothing gathers them, and to be compared they
+are first brought down to two texts per task.
 
 Defined results: a null text stays null with no lines; an empty one has one empty line.
 Every row has a number of its own, so of rows that are equal in all columns the first keeps
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.common import numbered, split_rows
+from clickloom.operators.joins import lookup
 from clickloom.session import store
 
 CHUNKINGS = 3
@@ -119,9 +121,21 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         "row", "x.spans.*", F.col("x.contents").alias("content")
     )
     found = store(found, "repeated-chunks")
-    firsts = found.where("is_first").select("digest", "n", F.col("content").alias("original")).distinct()
-    same = found.where("not is_first").join(firsts, ["digest", "n"]).where(F.col("content") == F.col("original"))
-    return same.select("row", "start", "n").distinct()
+    return equal_to_first(found).select("row", "start", "n").distinct()
+
+
+def equal_to_first(found: DataFrame) -> DataFrame:
+    """The later occurrences whose content is that of the first one of their digest, n."""
+    # Each task hands on two texts for a digest, however many occurrences it has: where the least
+    # and the greatest text are one, all are equal. Only of other digests the rows meet.
+    ends = found.groupBy("digest", "n").agg(F.min("content").alias("least"), F.max("content").alias("greatest"))
+    mixed = lookup(store(ends.where("least <> greatest").select("digest", "n"), "mixed-digests"))
+    later = found.where("not is_first")
+    alike = later.join(mixed, ["digest", "n"], "left_anti")
+    unsure = found.join(mixed, ["digest", "n"], "left_semi")
+    firsts = unsure.where("is_first").select("digest", "n", F.col("content").alias("original")).distinct()
+    equal = unsure.where("not is_first").join(firsts, ["digest", "n"]).where(F.col("content") == F.col("original"))
+    return alike.unionByName(equal.select(*alike.columns))
 
 
 def _kept(text: Column, spans: Column) -> Column:

@@ -127,6 +127,23 @@ def test_equal_digests_of_other_bytes_are_kept(spark, monkeypatch):
     assert spans.count() == 0
 
 
+def test_only_what_equals_the_first_of_its_digest_goes(spark):
+    found = [("a", 0, b"1", True, "x\ny"), ("b", 3, b"1", False, "x\ny"), ("c", 1, b"1", False, "x\nz")]
+    found += [("a", 5, b"2", True, "u\nv"), ("c", 7, b"2", False, "u\nv"), ("d", 0, b"2", False, "u\nv")]
+    kind = "row string, start int, digest binary, is_first boolean, content string"
+    got = op.equal_to_first(spark.createDataFrame(found, kind).withColumn("n", F.lit(2)))
+    assert rows(got, "row", "start") == [("b", 3), ("c", 7), ("d", 0)]
+
+
+def test_occurrences_of_a_frequent_chunk_are_not_dealt_by_its_digest(spark):
+    many = spark.range(0, 20_000, 1, 4).selectExpr(
+        "cast(id as string) row", "0 start", "2 n", "binary('1') digest", "id = 0 is_first", "'x\ny' content"
+    )
+    done = op.equal_to_first(op.store(many, "many"))
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert done.count() == 19_999 and "Join LeftAnti" in plan and "rightHint=(strategy=broadcast)" in plan
+
+
 def test_boundaries_do_not_depend_on_what_stands_before():
     inside = defaultdict(set)
     for before in (0, 1, 5):
