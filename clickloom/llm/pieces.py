@@ -2,8 +2,10 @@
 
 A sequence of pieces is the encoding of a text exactly if each two neighbours are the
 encoding of the two joined. So every prefix of a text has one last piece: the piece that
-ends there (found by an Aho-Corasick automaton) and that may follow the last piece of
-what is left before it (the pair test). The ids are read off backwards.
+ends there (found by an Aho-Corasick automaton, the longest first) and that may follow the
+last piece of what is left before it (the pair test). The ids are read off backwards. The
+automaton knows the pieces of two characters and more: since every prefix has a last piece,
+it is the character itself where no longer one may follow, and that needs no test.
 
 The pair test goes back in time. Two pieces side by side were made by merges of their own;
 undone one by one, the last first, these leave what stood at the border before. If that could
@@ -14,7 +16,7 @@ A character without a piece takes part in no merge and becomes its UTF-8 bytes.
 a word mark after another character, and a line feed has no piece, so a text falls into runs
 that are encoded on their own. Runs and pair tests are remembered within a number of bytes.
 
-Decoding looks at ids only: it joins the pieces, and the byte pieces between them as UTF-8.
+Decoding looks at ids only: it joins the bytes of the pieces and reads them as UTF-8.
 
 Defined results: null is the empty text, whose only id is the end id. Every row is
 encoded on its own; ids, repeated rows and other columns do not matter.
@@ -25,6 +27,7 @@ import re
 from collections.abc import Iterator
 from functools import cache
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column
@@ -39,8 +42,6 @@ RUN_BYTES = 48 << 20
 ENTRY_BYTES = 220
 PAIR_MEMO = 300_000
 LONGEST_REMEMBERED = 64
-# Stands for a byte piece; no other piece has it, since the character itself has no piece.
-BYTE = "\x00"
 RESULT = "ids array<int>, decoded string"
 
 
@@ -61,16 +62,19 @@ class PrefixTable:
                 self.bytes[int(text[3:5], 16)] = i
                 self.byte[i] = int(text[3:5], 16)
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
-                if MARK in text.lstrip(MARK) or "\n" in text or BYTE in text:
-                    raise ValueError(f"a piece with a word mark, line feed or zero inside: {text!r}")
+                if MARK in text.lstrip(MARK) or "\n" in text:
+                    raise ValueError(f"a piece with a word mark or line feed inside: {text!r}")
                 self.piece[text] = i
                 self.text[i] = text
                 self.score[text] = model.get_score(i)
         if len(self.text) > 1 << 16:
             raise ValueError("a model of more than 65,536 pieces")
         self.names = list(map(str, range(len(self.text))))
-        self.shown = [BYTE if i in self.byte else text for i, text in enumerate(self.text)]
-        self.alphabet = {text for text in self.piece if len(text) == 1}
+        # Marks become spaces here: those made of byte pieces stay marks.
+        shown = [text.replace(MARK, " ").encode() for text in self.text]
+        self.shown = [bytes((self.byte[i],)) if i in self.byte else text for i, text in enumerate(shown)]
+        self.single = {text: i for text, i in self.piece.items() if len(text) == 1}
+        self.lengths = list(map(len, self.text))
         # Only pieces that their own text is merged to can ever come about.
         self.parts: list[tuple[str, str] | None] = [None] * len(self.text)
         self.automaton = ahocorasick.Automaton()
@@ -80,8 +84,19 @@ class PrefixTable:
                 self.parts[i] = last
                 if last and any(len(x) > 1 and self.score[x] < self.score[text] for x in last):
                     raise ValueError(f"a piece with a better score than its part: {text!r}")
-                self.automaton.add_word(text, (len(text), i))
+                if len(text) > 1:
+                    self.automaton.add_word(text, (len(text), i))
         self.automaton.make_automaton()
+        # The same by ids, for the pair test: a piece's score, the last two pieces that were merged
+        # to it, and the scores of two pieces joined.
+        self.scores = [self.score.get(text, 0.0) for text in self.text]
+        self.halves = [last and (self.piece[last[0]], self.piece[last[1]]) for last in self.parts]
+        self.joined: dict[int, float] = {}
+        for text, score in self.score.items():
+            for at in range(1, len(text)):
+                a, b = self.piece.get(text[:at]), self.piece.get(text[at:])
+                if a is not None and b is not None:
+                    self.joined[a << 16 | b] = score
         self.pairs = Memo(PAIR_MEMO)
         self.runs = Recent(RUN_BYTES, lambda run, ids: ENTRY_BYTES + 2 * len(run) + 8 * len(ids))
 
@@ -120,36 +135,32 @@ class PrefixTable:
 
     def follows(self, a: int, b: int) -> bool:
         """Whether two pieces side by side are the encoding of their texts joined."""
-        score, piece, parts = self.score, self.piece, self.parts
-        x, y = self.text[a], self.text[b]
-        if x + y in score:
+        scores, halves, joined = self.scores, self.halves, self.joined.get
+        if joined(a << 16 | b) is not None:
             return False
         while True:
-            made = parts[piece[x]], parts[piece[y]]
-            if made == (None, None):
-                return True
+            left, right = halves[a], halves[b]
             # Of equal merges the left one comes first, so the right one is undone first.
-            if made[0] is None or made[1] is not None and score[y] <= score[x]:
-                undone, y = score[y], made[1][0]
-                if score.get(x + y, undone - 1) >= undone:
+            if right is not None and (left is None or scores[b] <= scores[a]):
+                undone, b = scores[b], right[0]
+                if joined(a << 16 | b, undone - 1) >= undone:
                     return False
-            else:
-                undone, x = score[x], made[0][1]
-                if score.get(x + y, undone) > undone:
+            elif left is not None:
+                undone, a = scores[a], left[1]
+                if joined(a << 16 | b, undone) > undone:
                     return False
+            else:
+                return True
 
     def encode_run(self, run: str) -> tuple[int, ...]:
-        # The last piece up to each character; -1 for one without a piece, and (as the last
-        # entry, which stands before the first) for the start.
-        last: list[int | None] = [None] * len(run)
+        # The last piece up to each character, at first the character itself; -1 for one without
+        # a piece, and (as the last entry, which stands before the first) for the start.
+        single = self.single.get
+        last = [single(x, -1) for x in run]
         last.append(-1)
-        if not self.alphabet.issuperset(run):
-            for at, character in enumerate(run):
-                if character not in self.alphabet:
-                    last[at] = -1
-        known = self.pairs.get
+        known, found = self.pairs.get, -1
         for at, (size, i) in self.automaton.iter(run):
-            if last[at] is None:
+            if at != found:
                 left = last[at - size]
                 if left >= 0:
                     fits = known(left << 16 | i)
@@ -159,7 +170,8 @@ class PrefixTable:
                         if not fits:
                             continue
                 last[at] = i
-        ids, at = [], len(run) - 1
+                found = at
+        ids, lengths, at = [], self.lengths, len(run) - 1
         while at >= 0:
             i = last[at]
             if i == -1:
@@ -167,8 +179,9 @@ class PrefixTable:
                 at -= 1
             else:
                 ids.append(i)
-                at -= len(self.text[i])
-        return tuple(ids[::-1])
+                at -= lengths[i]
+        ids.reverse()
+        return tuple(ids)
 
     def run(self, run: str) -> tuple[int, ...]:
         known = self.runs.get(run)
@@ -181,24 +194,17 @@ class PrefixTable:
     def encode(self, text: str | None) -> list[int]:
         """The ids, the end id last."""
         marked = (MARK + text.replace(" ", MARK)) if text else ""
-        ids: list[int] = []
-        young = self.runs.young
-        for run in RUNS.findall(marked):
-            known = young.get(run)
-            if known is None:
-                known = self.run(run)
-                young = self.runs.young
-            ids += known
-        ids.append(self.end)
-        return ids
+        runs = RUNS.findall(marked)
+        found = list(map(self.runs.young.get, runs))
+        if None in found:
+            for at, known in enumerate(found):
+                if known is None:
+                    found[at] = self.run(runs[at])
+        return [*chain.from_iterable(found), self.end]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, without the mark that encoding put before the first word."""
-        joined = "".join(map(self.shown.__getitem__, ids))
-        if BYTE in joined:
-            coded = b"".join([bytes((self.byte[i],)) if i in self.byte else self.text[i].encode() for i in ids])
-            joined = coded.decode("utf-8", "replace")
-        return joined.replace(MARK, " ")[1:]
+        return b"".join(map(self.shown.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
 @cache

@@ -83,3 +83,26 @@ def test_any_ids_decode_as_by_the_library(ids):
 def test_long_texts_without_a_space(spark):
     for text in ("x" * 3000, "日本" * 400, "ab" * 2000 + "\n" + "😀" * 300):
         assert own(text) == library(text)
+
+
+def test_a_single_character_needs_no_pair_test():
+    fresh = op.PrefixTable(PATH)
+    text = "Every prefix has a last piece: größer, niño, 1.234 x7z " * 3
+    assert fresh.encode(text) == library(text)[0]
+    assert fresh.pairs and not [k for k in fresh.pairs if len(fresh.text[k & 0xFFFF]) == 1]
+
+
+def test_the_pair_test_of_single_characters_is_that_of_merging():
+    rng = random.Random(2)
+    single = [i for text, i in TABLE.piece.items() if len(text) == 1]
+    stands = single + [i for text, i in TABLE.piece.items() if text in TABLE.automaton]
+    for k in range(20_000):
+        a, b = rng.choice(single if k % 2 else stands), rng.choice(single if k % 3 else stands)
+        x, y = TABLE.text[a], TABLE.text[b]
+        assert TABLE.follows(a, b) == (TABLE.merged(x + y)[0] == [x, y])
+
+
+def test_a_mark_made_of_byte_pieces_stays():
+    coded = [TABLE.bytes[x] for x in op.MARK.encode()]
+    ids = [TABLE.piece["▁a"], *coded, TABLE.piece["▁a"]]
+    assert TABLE.decode(ids) == LIBRARY.decode(ids) == "a▁ a"
