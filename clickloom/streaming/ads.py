@@ -11,6 +11,7 @@ Below the root folder:
     batches/<n>                        what batch n goes by: its limit and the clock before it
     passed/batch=<n>                   the clicks that count, read by the second query
     checkpoint, counters               the queries' checkpoints; the second one's has the counters
+    changed                            what the last batch changed, until it is published
     tables/blacklist, area_city_ad_counts, top_area_ads, minutes, last_hour     change logs
     recent/minute=...                  clicks by minute, for the minute at the window's edge
     quarantine/batch_id=...            value, reason

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +28,7 @@ from clickloom.operators.joins import key_bits
 from clickloom.streaming.state import ChangeLog, Folder
 
 CLICK = "timestamp long, area string, city string, userid string, adid string, date string"
+CHANGED = "date string, kind string, first string, second string, adid string, clicks long, batch long"
 USER, CITY, AREA = "user", "city", "area"
 TOP = "array<struct<position: int, adid: string, clicks: long>>"
 DAY = 86_400_000
@@ -109,30 +110,32 @@ class Counters:
 
     def publish(self, changed: DataFrame, _: int) -> None:
         """Publish the changed counters under the number of the batch that changed them."""
-        changed = changed.select(_date("day"), "kind", "first", "second", "adid", "clicks", "batch")
-        changed.persist(StorageLevel.MEMORY_AND_DISK)
         reached = (F.col("kind") == USER) & (F.col("clicks") >= self.threshold)
-        try:
-            seen = changed.agg(F.max("batch").alias("batch"), F.count_if(reached).alias("reached")).first()
-            batch = seen.batch
-            if batch is None:
-                return
-            cities = changed.where(F.col("kind") == CITY).select(
-                "date", F.col("first").alias("area"), F.col("second").alias("city"), "adid", "clicks"
-            )
-            areas = changed.where(F.col("kind") == AREA).select("date", F.col("first").alias("area"), "adid", "clicks")
-            steps = [lambda: self.city_ads.write(cities, batch), lambda: self._rank(areas, batch)]
-            if seen.reached:
-                listed = changed.where(reached).select(F.col("first").alias("userid")).distinct()
-                steps.append(lambda: self._list(listed, batch))
-            # Small outputs that do not read each other. Their jobs belong to the query's job
-            # group, so that stopping it stops them.
-            with ThreadPoolExecutor(len(steps)) as pool:
-                done = [pool.submit(inheritable_thread_target(changed.sparkSession)(step)) for step in steps]
-            for output in done:
-                output.result()
-        finally:
-            changed.unpersist()
+        changed = changed.select(_date("day"), "kind", "first", "second", "adid", "clicks", "batch")
+        # The counting is done by this one write. The steps below use their rows several times,
+        # and a frame that meets itself in a join is computed again, cached or not. Of the
+        # users only the listed ones go on; every click also has an area, whose row names the batch.
+        path = f"{self.root}/changed"
+        changed.where((F.col("kind") != USER) | reached).write.mode("overwrite").parquet(path)
+        changed = changed.sparkSession.read.schema(CHANGED).parquet(path)
+        seen = changed.agg(F.max("batch").alias("batch"), F.count_if(reached).alias("reached")).first()
+        batch = seen.batch
+        if batch is None:
+            return
+        cities = changed.where(F.col("kind") == CITY).select(
+            "date", F.col("first").alias("area"), F.col("second").alias("city"), "adid", "clicks"
+        )
+        areas = changed.where(F.col("kind") == AREA).select("date", F.col("first").alias("area"), "adid", "clicks")
+        steps = [lambda: self.city_ads.write(cities, batch), lambda: self._rank(areas, batch)]
+        if seen.reached:
+            listed = changed.where(reached).select(F.col("first").alias("userid")).distinct()
+            steps.append(lambda: self._list(listed, batch))
+        # Small outputs that do not read each other. Their jobs belong to the query's job
+        # group, so that stopping it stops them.
+        with ThreadPoolExecutor(len(steps)) as pool:
+            done = [pool.submit(inheritable_thread_target(changed.sparkSession)(step)) for step in steps]
+        for output in done:
+            output.result()
 
     def _list(self, users: DataFrame, batch: int) -> None:
         """Put users on the blacklist and set their bits; see ``operators.joins``."""

@@ -284,6 +284,16 @@ def test_a_click_far_ahead_expires_nothing(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "quarantine")), "reason") == [("future",)]
 
 
+def test_a_batch_is_counted_once(spark, tmp_path):
+    """The state is brought up to date by one run of the counting, however many tables use it."""
+    pipeline = AdsPipeline(str(tmp_path), threshold=3, batch_time=lambda: NOW + DAY)
+    feed(spark, pipeline, clicks(4), clicks(4, "v") + clicks(1, "w"))
+    assert rows(pipeline.blacklist(spark)) == [("u", 0), ("v", 1)]
+    done = [x for x in pipeline._counters.query.recentProgress if x.numInputRows]
+    # One user, city and area at first; then two users and the same city and area.
+    assert [x.stateOperators[0].numRowsUpdated for x in done] == [3, 4]
+
+
 def test_a_late_click_does_not_replace_what_is_published(spark, tmp_path):
     pipeline = AdsPipeline(str(tmp_path), retain_days=1, batch_time=lambda: NOW + 9 * DAY)
     feed(spark, pipeline, clicks(50), clicks(1, day=3), clicks(1, start=9000))
